@@ -9,6 +9,7 @@ map side.
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -373,7 +374,7 @@ def typed_body(table: str) -> str:
     body = BODIES[table]
     columns = []
     for name in schema.columns(table):
-        known = f" {name}" in body or f"\n{name}" in body
+        known = re.search(rf"\b{name}\b", body)
         columns.append(f"CAST({name if known else 'NULL'} AS {schema.column_type(name)}) AS {name}")
     return f"SELECT {', '.join(columns)} FROM ({body}) AS b"
 
