@@ -58,7 +58,7 @@ def deductible_detail(mart: Mart, layers: DataFrame, params: RunParams) -> DataF
 
 
 def blanket_by_peril(
-    mart: Mart, folded: DataFrame, layers: DataFrame, params: RunParams
+    mart: Mart, terms: DataFrame, layers: DataFrame, params: RunParams
 ) -> DataFrame:
     """Rows of the deductible detail per term, peril and set of blanket deductibles.
 
@@ -66,7 +66,6 @@ def blanket_by_peril(
     counted without layers, on the columns of the group only, and the count is multiplied
     by the term's layer rows.
     """
-    terms = folded.select("policy_term_id")
     joined = add_deductibles(insured_risks(mart, terms, params, "inner"), mart)
     keys = ("policy_term_id", "peril_cd", *BLANKET_DEDUCTIBLES)
     counted = (

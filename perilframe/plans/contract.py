@@ -23,6 +23,7 @@ from perilframe.operators.premium import link_policy_id, policy_premium
 from perilframe.params import RunParams
 from perilframe.schema import PERIL_FLAGS
 from perilframe.sources.mart import Mart
+from perilframe.sources.staging import Stage
 
 # Order of the policy peril columns in the contract file.
 FILE_FLAGS = tuple(
@@ -32,10 +33,16 @@ FILE_FLAGS = tuple(
 
 @dataclass(frozen=True)
 class Contract:
-    """The steps of the contract file over one mart and run, each a lazy DataFrame."""
+    """The steps of the contract file over one mart and run.
+
+    Every step is a lazy DataFrame. Five steps read the policy x layer view; with a
+    ``stage`` it is written once (policy grain, small beside risks and perils) and the
+    policies in force are then taken from it, instead of being found again per step.
+    """
 
     mart: Mart
     params: RunParams
+    stage: Stage | None = None
 
     @cached_property
     def pif(self) -> DataFrame:
@@ -47,11 +54,19 @@ class Contract:
 
     @cached_property
     def layers(self) -> DataFrame:
-        return lay.policy_layers(self.mart, self.folded)
+        view = lay.policy_layers(self.mart, self.folded)
+        return self.stage.keep(view, "policy_layers") if self.stage else view
+
+    @cached_property
+    def terms_in_force(self) -> DataFrame:
+        """One row per policy term in force."""
+        if self.stage:
+            return self.layers.select("policy_term_id").distinct()
+        return self.folded.select("policy_term_id")
 
     @cached_property
     def premium(self) -> DataFrame:
-        links = link_policy_id(self.mart, self.folded)
+        links = link_policy_id(self.mart, self.terms_in_force)
         return policy_premium(self.mart, links, self.params)
 
     @cached_property
@@ -64,7 +79,7 @@ class Contract:
 
     @cached_property
     def blankets(self) -> DataFrame:
-        return ded.blanket_by_peril(self.mart, self.folded, self.layers, self.params)
+        return ded.blanket_by_peril(self.mart, self.terms_in_force, self.layers, self.params)
 
     @cached_property
     def groups(self) -> DataFrame:
