@@ -50,7 +50,7 @@ def _on_mart(make: Callable[[Mart], DataFrame]) -> Query:
 
 def _contract(make: Callable[[Contract], DataFrame], staged: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        stage = Stage(spark) if staged else None
+        stage = Stage.of(spark) if staged else None
         return make(Contract(testdata_mart(spark, sf_dir), PARAMS, stage))
 
     return query

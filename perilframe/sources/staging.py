@@ -18,15 +18,20 @@ class Stage:
     Each stage object owns one new subfolder; the folder's retention policy clears it.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark = spark
+        self._root = f"{root.rstrip('/')}/perilframe/{uuid.uuid4().hex}"
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> Stage | None:
+        """A stage in the session's shared folder. Without one, a local session gets a
+        temporary folder; a cluster gets no stage, and its plans stay lazy throughout."""
         root = spark.conf.get(SHARED_DIR, None)
         if not root:
-            master = spark.conf.get("spark.master", "")
-            if not master.startswith("local"):
-                raise ValueError(f"set {SHARED_DIR} to a folder all executors share")
+            if not spark.conf.get("spark.master", "").startswith("local"):
+                return None
             root = tempfile.mkdtemp(prefix="perilframe-")
-        self._spark = spark
-        self._root = f"{root.rstrip('/')}/perilframe/{uuid.uuid4().hex}"
+        return cls(spark, root)
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         path = f"{self._root}/{name}"

@@ -10,6 +10,7 @@ map side.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from perilframe import schema
 from perilframe.functions.fixed import CONSTRUCTION_NUMBERS, NO_PERIL, PERILS
 from perilframe.sources.mart import Mart
+from perilframe.sources.staging import Stage
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 SNAPSHOTS = {
@@ -379,8 +381,31 @@ def typed_body(table: str) -> str:
     return f"SELECT {', '.join(columns)} FROM ({body}) AS b"
 
 
+BASE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+# Tables grouped or joined out of orders and lines: loaded once per session, as a mart is
+# loaded before its queries run. The other tables are plain projections and stay lazy.
+LOADED = ("policy_term", "risk", "risk_peril_product", "risk_property_structure",
+          "covered_property_structure", "limit_property_structure",
+          "deductible_property_structure", "excess")
+
+_loads: dict[tuple[str, str], Callable[[str, DataFrame], DataFrame]] = {}
+
+
 def base_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
+    return {
+        t: spark.read.schema(ddl).parquet(f"{sf_dir}/{t}.parquet")
+        for t, ddl in BASE_SCHEMAS.items()
+    }
 
 
 def _run(spark: SparkSession, bases: dict[str, DataFrame], body: str) -> DataFrame:
@@ -388,9 +413,33 @@ def _run(spark: SparkSession, bases: dict[str, DataFrame], body: str) -> DataFra
     return spark.sql(body, **used)
 
 
+def _load(spark: SparkSession, sf_dir: str) -> Callable[[str, DataFrame], DataFrame]:
+    """Loader of one session and folder: writes a table on first use, then reads it back."""
+    key = (spark.conf.get("spark.app.id", ""), sf_dir)
+    if key not in _loads:
+        stage = Stage.of(spark)
+        written: dict[str, DataFrame] = {}
+
+        def load(name: str, frame: DataFrame) -> DataFrame:
+            if stage is None:
+                return frame
+            if name not in written:
+                written[name] = stage.keep(frame, name)
+            return written[name]
+
+        _loads[key] = load
+    return _loads[key]
+
+
 def testdata_mart(spark: SparkSession, sf_dir: str) -> Mart:
     bases = base_frames(spark, sf_dir)
-    return Mart(spark, lambda table: _run(spark, bases, typed_body(table)))
+    load = _load(spark, sf_dir)
+
+    def build(table: str) -> DataFrame:
+        frame = _run(spark, bases, typed_body(table))
+        return load(table, frame) if table in LOADED else frame
+
+    return Mart(spark, build)
 
 
 def testdata_snapshots(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
@@ -401,4 +450,8 @@ def testdata_snapshots(spark: SparkSession, sf_dir: str, kind: str) -> dict[str,
         "location": location_snapshot,
         "reinsurance": reinsurance_snapshot,
     }[kind]
-    return {name: _run(spark, bases, make(day)) for name, day in SNAPSHOTS.items()}
+    frames = {name: _run(spark, bases, make(day)) for name, day in SNAPSHOTS.items()}
+    if kind != "location":
+        return frames
+    load = _load(spark, sf_dir)
+    return {name: load(f"location_{name}", frame) for name, frame in frames.items()}
