@@ -24,7 +24,7 @@ from perilframe.plans import quality as dq
 from perilframe.plans.contract import Contract
 from perilframe.sources.mart import Mart, view
 from perilframe.sources.staging import Stage
-from perilframe.sources.testdata import testdata_mart, testdata_snapshots
+from perilframe.sources.testdata import mart_of_testdata, snapshots_of_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = date(1998, 12, 31)
@@ -45,20 +45,20 @@ ALIVE_VARIANTS = {
 
 
 def _on_mart(make: Callable[[Mart], DataFrame]) -> Query:
-    return lambda spark, sf_dir: make(testdata_mart(spark, sf_dir))
+    return lambda spark, sf_dir: make(mart_of_testdata(spark, sf_dir))
 
 
 def _contract(make: Callable[[Contract], DataFrame], staged: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage = Stage.of(spark) if staged else None
-        return make(Contract(testdata_mart(spark, sf_dir), PARAMS, stage))
+        return make(Contract(mart_of_testdata(spark, sf_dir), PARAMS, stage))
 
     return query
 
 
 def _location(make: Callable[[Mart, DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        mart = testdata_mart(spark, sf_dir)
+        mart = mart_of_testdata(spark, sf_dir)
         return make(mart, fold_products(loc.location_pif(mart, PARAMS)))
 
     return query
@@ -136,7 +136,7 @@ def _files(kind: str, make: Callable[..., DataFrame]) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         kinds = {
-            k: {n: ct.trimmed_keys(f) for n, f in testdata_snapshots(spark, sf_dir, k).items()}
+            k: {n: ct.trimmed_keys(f) for n, f in snapshots_of_testdata(spark, sf_dir, k).items()}
             for k in kind.split()
         }
         return make(*kinds.values())
@@ -146,9 +146,9 @@ def _files(kind: str, make: Callable[..., DataFrame]) -> Query:
 
 def _with_reference(table: str, make: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        files = testdata_snapshots(spark, sf_dir, "location")
+        files = snapshots_of_testdata(spark, sf_dir, "location")
         current, prior = (ct.trimmed_keys(files[n]) for n in ("current", "prior"))
-        return make(current, prior, testdata_mart(spark, sf_dir)[table])
+        return make(current, prior, mart_of_testdata(spark, sf_dir)[table])
 
     return query
 

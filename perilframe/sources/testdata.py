@@ -431,7 +431,7 @@ def _load(spark: SparkSession, sf_dir: str) -> Callable[[str, DataFrame], DataFr
     return _loads[key]
 
 
-def testdata_mart(spark: SparkSession, sf_dir: str) -> Mart:
+def mart_of_testdata(spark: SparkSession, sf_dir: str) -> Mart:
     bases = base_frames(spark, sf_dir)
     load = _load(spark, sf_dir)
 
@@ -442,7 +442,7 @@ def testdata_mart(spark: SparkSession, sf_dir: str) -> Mart:
     return Mart(spark, build)
 
 
-def testdata_snapshots(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
+def snapshots_of_testdata(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
     """Snapshot name -> file rows, for ``contract``, ``location`` or ``reinsurance``."""
     bases = base_frames(spark, sf_dir)
     make = {
