@@ -67,7 +67,7 @@ def pivot_terms(rows: DataFrame, keys: Sequence[str] = ("policy_term_id", "risk_
     peril keep a row of NULLs.
     """
     cells = (
-        F.max(F.when(F.col("peril_cd") == peril, F.col(source))).alias(f"{peril}_{short}")
+        F.expr(f"max(CASE WHEN peril_cd = '{peril}' THEN {source} END) AS {peril}_{short}")
         for peril in PIVOTED_PERILS
         for short, source in MEASURES.items()
     )

@@ -16,11 +16,9 @@ BUCKET_KEYS = {
     "risk_property_structure": "risk_id",
     "covered_property_structure": "risk_id",
     "risk_peril_product": "risk_id",
-    "facultative": "risk_id",
     "limit_property_structure": "risk_peril_product_id",
     "deductible_property_structure": "risk_peril_product_id",
     "policy_term": "policy_term_id",
-    "excess": "policy_term_id",
 }
 
 
@@ -57,8 +55,9 @@ def write_bucketed(mart: Mart, database: str, buckets: int, tables: Iterable[str
     """Store mart tables bucketed and sorted by their join keys."""
     for table in tables or BUCKET_KEYS:
         key = BUCKET_KEYS[table]
-        # One task per bucket writes one file; a key of the mart is never shared by many
-        # rows of these tables, except risks and excess rows by term.
+        # One task writes one bucket. The keys are the tables' own or their parent's surrogate
+        # keys; tables grouped by term (excess, ceded rows) are left out, as one term may
+        # hold very many of them.
         mart[table].repartition(buckets, key).write.mode("overwrite").bucketBy(
             buckets, key
         ).sortBy(key).saveAsTable(f"{database}.{table}")
