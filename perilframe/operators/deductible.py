@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perilframe.functions.dialect import alive
 from perilframe.functions.fixed import (
     FLOOD_AREA,
     PERIL_SEPARATOR,
@@ -15,8 +16,13 @@ from perilframe.functions.fixed import (
     QUAKE_AREA,
     WIND_AREA,
 )
-from perilframe.operators.spine import add_deductibles, add_perils, add_risks, add_structures, from_table
-from perilframe.functions.dialect import alive
+from perilframe.operators.spine import (
+    add_deductibles,
+    add_perils,
+    add_risks,
+    add_structures,
+    from_table,
+)
 from perilframe.params import Alive, RunParams
 from perilframe.schema import ADDRESS, BLANKET_DEDUCTIBLES, PERIL_FLAGS, SITE_DEDUCTIBLES
 from perilframe.sources.mart import Mart

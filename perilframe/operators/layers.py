@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from perilframe.functions.fixed import NO_PERIL, PERILS
 from perilframe.functions.rules import policy_key, policy_layer_key, policy_version_key
+from perilframe.operators.spine import on_same
 from perilframe.schema import PERIL_FLAGS
 from perilframe.sources.mart import Mart
 
@@ -54,26 +55,16 @@ def policy_layers(mart: Mart, folded: DataFrame) -> DataFrame:
     )
     joined = (
         folded.alias("f")
-        .join(term, F.col("f.policy_term_id") == F.col("t.policy_term_id"), "left")
-        .join(
-            excess_layers(mart).alias("x"),
-            F.col("t.policy_term_id") == F.col("x.policy_term_id"),
-            "left",
-        )
-        .join(mart["policy"].alias("y"), F.col("t.policy_id") == F.col("y.policy_id"), "left")
-        .join(
-            mart["customer"].alias("c"), F.col("y.customer_id") == F.col("c.customer_id"), "left"
-        )
-        .join(
-            producer,
-            F.col("t.producer_profit_center_bu_id") == F.col("b.producer_profit_center_bu_id"),
-            "left",
-        )
+        .join(term, on_same("f", "t", "policy_term_id"), "left")
+        .join(excess_layers(mart).alias("x"), on_same("t", "x", "policy_term_id"), "left")
+        .join(mart["policy"].alias("y"), on_same("t", "y", "policy_id"), "left")
+        .join(mart["customer"].alias("c"), on_same("y", "c", "customer_id"), "left")
+        .join(producer, on_same("t", "b", "producer_profit_center_bu_id"), "left")
         .join(
             mart["d_producer"].alias("p"), F.col("b.producer_cd") == F.col("p.producer_code"), "left"
         )
         .join(geography, place, "left")
-        .join(mart["company"].alias("m"), F.col("t.company_id") == F.col("m.company_id"), "left")
+        .join(mart["company"].alias("m"), on_same("t", "m", "company_id"), "left")
     )
     return joined.select(
         "f.mod_period",

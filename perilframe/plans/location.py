@@ -39,13 +39,16 @@ from perilframe.operators.spine import (
     add_risks,
     add_structures,
     from_table,
+    on_same,
 )
 from perilframe.params import Alive, RunParams
 from perilframe.schema import ADDRESS, PERIL_FLAGS
 from perilframe.sources.mart import Mart
 
 COVERED_TEXT = ("building_percent_complete_no", "contents_rate_grade_cd")
-UPDATE_YEARS = tuple(f"{part}_update_yr" for part in ("electrical", "heating", "other", "plumbing", "roof"))
+UPDATE_YEARS = tuple(
+    f"{part}_update_yr" for part in ("electrical", "heating", "other", "plumbing", "roof")
+)
 OCCUPANCY = ("occupancy_cd", "occupancy_desc", "occupancy_scheme_desc")
 VALUES = ("building_replacement_amt", "contents_replacement_amt", "business_int_replacement_amt",
           "building_cvrg_a_amt", "building_cvrg_b_amt", "contents_cvrg_c_amt",
@@ -91,32 +94,29 @@ def _spine(mart: Mart, folded: DataFrame, params: RunParams) -> DataFrame:
     """Policies, then risks, structures and coverages; the last three share a partitioning."""
     policies = (
         folded.alias("pif")
-        .join(mart["policy_term"].alias("t"), F.col("pif.policy_term_id") == F.col("t.policy_term_id"))
-        .join(mart["policy"].alias("y"), F.col("t.policy_id") == F.col("y.policy_id"), "left")
-        .join(mart["customer"].alias("c"), F.col("y.customer_id") == F.col("c.customer_id"), "left")
+        .join(mart["policy_term"].alias("t"), on_same("pif", "t", "policy_term_id"))
+        .join(mart["policy"].alias("y"), on_same("t", "y", "policy_id"), "left")
+        .join(mart["customer"].alias("c"), on_same("y", "c", "customer_id"), "left")
         .join(
             mart["producer_profit_center_bu"].alias("b"),
-            F.col("t.producer_profit_center_bu_id") == F.col("b.producer_profit_center_bu_id"),
+            on_same("t", "b", "producer_profit_center_bu_id"),
         )
-        .join(mart["company"].alias("m"), F.col("t.company_id") == F.col("m.company_id"))
+        .join(mart["company"].alias("m"), on_same("t", "m", "company_id"))
     )
     risks = add_risks(policies, mart, "t").join(
-        mart["source_system"].alias("s"),
-        F.col("risk.source_system_id") == F.col("s.source_system_id"),
-        "left",
+        mart["source_system"].alias("s"), on_same("risk", "s", "source_system_id"), "left"
     )
     return add_construction(add_structures(risks, mart, alive(params.as_of, Alive())), mart)
 
 
 def _policy_columns(product: str) -> list[Column]:
-    own = [c for c in POLICY_COLUMNS]
     return [
         *from_table("t", ("business_unit_cd", "business_unit_desc")),
         *from_table("b", PRODUCER_COLUMNS),
         F.col("c.customer_cd"),
         policy_key("t.").alias("spm"),
         policy_version_key("t.").alias("spmv"),
-        *from_table("t", tuple(own)),
+        *from_table("t", POLICY_COLUMNS),
         *from_table("m", COMPANY_COLUMNS),
         *from_table(product, ("product_cd", "product_desc")),
         *from_table("t", ("sic_cd", "sic_desc")),
@@ -210,7 +210,7 @@ def _with_blocks(selection: DataFrame, pivot: DataFrame, one_structure: bool) ->
         return joined.withColumn("risk_id", checked).select(
             "*", *(c for n in BLOCKS for c in peril_block(n))
         )
-    flags = F.struct(*(f for f in RISK_FLAGS))
+    flags = F.struct(*RISK_FLAGS)
     frame = joined.withColumn("risk_flags", F.collect_list(flags).over(same_risk))
     for number, (peril, _) in BLOCKS.items():
         frame = frame.withColumn(

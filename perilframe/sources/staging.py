@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_root() -> str:
+    """Temporary folder of this process, removed when it ends. Local sessions only."""
+    root = tempfile.mkdtemp(prefix="perilframe-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 class Stage:
     """Writes intermediate results as Parquet into the cluster's shared checkpoint folder.
 
@@ -30,7 +41,7 @@ class Stage:
         if not root:
             if not spark.conf.get("spark.master", "").startswith("local"):
                 return None
-            root = tempfile.mkdtemp(prefix="perilframe-")
+            root = _local_root()
         return cls(spark, root)
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:

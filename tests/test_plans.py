@@ -37,6 +37,11 @@ def test_date_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "ReadSchema: struct<risk_id:bigint,product_id:bigint>" in plan
 
 
+def test_sample_keeps_few_rows_per_group_before_the_shuffle(spark, sf_dir):
+    plan = plan_of(QUERIES["pif_sample_top5"](spark, sf_dir))
+    assert "WindowGroupLimit" in plan
+
+
 def test_bucketed_mart_joins_risks_without_a_shuffle(spark, sf_dir):
     mart = mart_of_testdata(spark, sf_dir)
     spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
