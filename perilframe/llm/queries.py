@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perilframe.llm import simhash
+from perilframe.llm import pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,5 +23,23 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op1_simhash": op1_simhash}
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in whole texts: counts, digest of the base spans and all spans."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.detect(docs).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"
+    )
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of whole texts and the verdict of the weighed rules."""
+    found = quality.assess(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *quality.MEASURES, "base_failed", "kept", "quality")
+
+
+QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
+    "op4_pii": op4_pii,
+    "op5_quality": op5_quality,
+}
 ORACLE_SQL: dict[str, str] = {}
