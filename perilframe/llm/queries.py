@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perilframe.llm import pii, quality, simhash
+from perilframe.llm import packing, pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,9 +37,22 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality.MEASURES, "base_failed", "kept", "quality")
 
 
+def vocabulary() -> str:
+    """Where the public tokenizers keep the vocabulary that the packed ids come from."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
+    "op7_packing": op7_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
