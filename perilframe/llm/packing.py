@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterable, Iterator
 
@@ -31,7 +32,7 @@ CUT_PENALTY = 8
 #: Tokens that are planned together.
 BLOCK = 1 << 19
 #: Words whose ids a task keeps before it starts anew, and texts that it tokenizes at a time.
-CACHED_WORDS, BATCH = 300_000, 2000
+CACHED_WORDS, BATCH = 500_000, 3000
 
 # Words made of these letters and a tail of these signs are split between the two by the
 # vocabulary's own pattern, whatever surrounds them.
@@ -54,7 +55,12 @@ class Ids:
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._letters = {ord(chr(b)): c for b, c in _byte_letters().items()}
+        self._forget()
+
+    def _forget(self) -> None:
         self._known: dict[str, list[int]] = {}
+        self._slot: dict[str, int] = {}
+        self._starts, self._sizes, self._table = array("q"), array("q"), array("I")
 
     def word(self, word: str) -> list[int]:
         ids = self._known.get(word)
@@ -64,8 +70,6 @@ class Ids:
                 ids = [t.id for t in self._tokenizer.model.tokenize(letters)]
             else:
                 ids = self._tokenizer.encode(word, add_special_tokens=False).ids
-            if len(self._known) >= CACHED_WORDS:
-                self._known.clear()
             self._known[word] = ids
         return ids
 
@@ -92,31 +96,35 @@ class Ids:
         per_text = np.diff(split.offsets.to_numpy())
         if not len(chunks.dictionary):
             return np.full(len(texts), END_ID, np.uint32), np.ones(len(texts), np.int64)
-        # Of each different chunk: its lower-case core and its tail of signs.
-        core = pc.utf8_rtrim(chunks.dictionary, _TAIL)
-        plain = pc.utf8_lower(core).dictionary_encode()
-        words = plain.dictionary.to_pylist()
-        is_plain = np.fromiter((bool(_PLAIN.fullmatch(w)) for w in words), bool, len(words))
-        plain_chunk = is_plain[plain.indices.to_numpy()]
-        raw = chunks.dictionary.to_pylist()
-        cores = core.to_pylist()
-        ids: list[list[int]] = []
-        for text, head, known in zip(raw, cores, plain_chunk.tolist()):
-            if not known:
-                ids.append(self.word(text) if text else [])
-            elif len(head) == len(text):
-                ids.append(self.word(head.lower()))
-            else:
-                ids.append(self.word(head.lower()) + self.word(text[len(head):]))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        table = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-        starts = np.cumsum(sizes) - sizes
-        at = chunks.indices.to_numpy()
+        at = self._slots(chunks.dictionary.to_pylist())[chunks.indices.to_numpy()]
+        starts, sizes, table = (np.array(x) for x in (self._starts, self._sizes, self._table))
         flat = _take_runs(table, starts[at], sizes[at])
         token_at = np.r_[0, np.cumsum(sizes[at])]
         ends = token_at[np.cumsum(per_text)]
         return np.insert(flat, ends, END_ID), np.diff(np.r_[0, ends]) + 1
 
+    def _slots(self, chunks: list[str]) -> np.ndarray:
+        """Where the ids of each chunk of a text stand in the table, which grows by new ones."""
+        if len(self._slot) >= CACHED_WORDS:
+            self._forget()
+        slots = list(map(self._slot.get, chunks))
+        for i, slot in enumerate(slots):
+            if slot is None:
+                chunk = chunks[i]
+                core = chunk.rstrip(_TAIL)
+                lower = core.lower()
+                if not _PLAIN.fullmatch(lower):
+                    ids = self.word(chunk) if chunk else []
+                elif len(core) == len(chunk):
+                    ids = self.word(lower)
+                else:
+                    ids = self.word(lower) + self.word(chunk[len(core):])
+                slots[i] = self._slot[chunk] = len(self._sizes)
+                self._starts.append(len(self._table))
+                self._sizes.append(len(ids))
+                self._table.extend(ids)
+        return np.array(slots, np.int64)
+
 
 def _take_runs(table: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The runs ``table[start:start + size]`` one after the other."""
@@ -138,8 +146,9 @@ def cut_points(ids: np.ndarray, doc_ends: np.ndarray, sentence_ends: np.ndarray,
     points = np.union1d(np.flatnonzero(np.isin(ids, sentence_ends)) + 1, doc_ends)
     points = np.union1d(points, np.array([0, total]))
     gaps = np.diff(points)
-    for i in np.flatnonzero(gaps > capacity):  # sentences longer than a window
-        points = np.union1d(points, np.arange(points[i], points[i] + gaps[i], capacity))
+    long = np.flatnonzero(gaps > capacity)  # sentences longer than a window
+    inner = [np.arange(points[i], points[i + 1], capacity) for i in long]
+    points = np.union1d(points, np.concatenate([points[:1], *inner]))
     whole = np.isin(points, doc_ends).tolist()
     points = points.tolist()
     index = {p: i for i, p in enumerate(points)}
