@@ -8,6 +8,8 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +73,37 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Different terms, the term at each place, and where each text begins (and the last ends).
+    A term is a word in lower case without signs around it; words of signs only are left out."""
+    filled = pc.fill_null(texts.cast(pa.large_string()), "")
+    split = pc.ascii_split_whitespace(filled)
+    words = split.flatten().dictionary_encode()
+    trimmed = pc.replace_substring_regex(
+        pc.utf8_lower(words.dictionary), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""
+    ).dictionary_encode()
+    index = trimmed.indices.to_numpy()[words.indices.to_numpy()] if len(words) else np.zeros(0, int)
+    empty = pc.index(trimmed.dictionary, "").as_py()
+    real = index != empty
+    before = np.r_[0, np.cumsum(real)]
+    return trimmed.dictionary, index[real], before[split.offsets.to_numpy()]
+
+
+def term_hashes(dictionary: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, dictionary.to_pylist()), np.uint64, len(dictionary))
+
+
+def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """One number for each run of ``size`` terms, given the number of each term."""
+    out = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
+    for i in range(size):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += hashes[i : i + len(out)]
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(32))
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole groups with the start of each group and the number of rows at the end.
     The input must be sorted by the keys; only the last, unfinished group is carried over."""

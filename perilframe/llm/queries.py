@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perilframe.llm import packing, pii, quality, simhash
+from perilframe.llm import langid, packing, pii, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,17 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality.MEASURES, "base_failed", "kept", "quality")
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of whole texts, learnt from three of four documents."""
+    found = langid.assess(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of whole texts, learnt from four of five labelled documents, with evidence."""
+    return toxicity.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def vocabulary() -> str:
     """Where the public tokenizers keep the vocabulary that the packed ids come from."""
     import public_tokenizers
@@ -53,6 +64,8 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
+    "op6_langid": op6_langid,
     "op7_packing": op7_packing,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
