@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from perilframe.llm import langid, packing, pii, quality, simhash, toxicity
+from perilframe.llm import decontam, langid, packing, pii, quality, simhash, spans, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +44,20 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in whole documents, one row per document and item."""
+    return decontam.contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without sentences of repeated runs, as counts and a digest of what is kept."""
+    found = spans.deduplicated(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_sentences", "n_removed",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of whole texts, learnt from four of five labelled documents, with evidence."""
     return toxicity.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -66,6 +81,8 @@ QUERIES: dict[str, Query] = {
     "op5_quality": op5_quality,
     "op6_langid": op6_langid,
     "op7_packing": op7_packing,
+    "op8_decontamination": op8_decontamination,
+    "op9_spans": op9_spans,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_spans": spans.SQL}
