@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perilframe.llm import decontam, langid, packing, pii, quality, simhash, spans, toxicity
+from perilframe.llm import (
+    decontam,
+    langid,
+    packing,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    spans,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +34,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts without any 200 bytes that start anywhere else, as counts and a digest."""
+    found = repeats.removals(_table(spark, sf_dir, "documents"))
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", lost.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in whole texts: counts, digest of the base spans and all spans."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,6 +96,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op3_repeats": op3_repeats,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
     "op6_langid": op6_langid,
