@@ -17,6 +17,7 @@ from perilframe.llm import (
     simhash,
     spans,
     toxicity,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written into WARC archives and read back."""
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts without any 200 bytes that start anywhere else, as counts and a digest."""
     found = repeats.removals(_table(spark, sf_dir, "documents"))
@@ -96,6 +102,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_warc": op2_warc,
     "op3_repeats": op3_repeats,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
@@ -105,4 +112,4 @@ QUERIES: dict[str, Query] = {
     "op9_spans": op9_spans,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {"op9_spans": spans.SQL}
+ORACLE_SQL: dict[str, str] = {"op2_warc": warc.SQL, "op9_spans": spans.SQL}
