@@ -33,16 +33,16 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: that with the smallest id, once if its row repeats.
     A component without any id keeps one of its rows."""
-    found = simhash.near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = first.where("doc_id is not null").select("doc_id").distinct()
+    found = staged(simhash.near_duplicates(docs))
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
     one = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    if first.where("doc_id is null").isEmpty():
+    unnamed = found.where("component_id is null")
+    if unnamed.isEmpty():
         return one
-    # Rows without id whose component has none: one per component, by fingerprint.
-    bare = simhash.with_fingerprint(docs.where("doc_id is null"), name="fp_")
-    lone = first.where("doc_id is null").groupBy().agg(F.min("fingerprint").alias("fp_"))
-    return one.unionByName(bare.join(lone, "fp_", "left_semi").dropDuplicates(["fp_"]).drop("fp_"))
+    [fp] = fresh(docs, "fp")
+    lone = unnamed.groupBy("root").agg(F.min("fingerprint").alias(fp)).select(fp)
+    bare = simhash.with_fingerprint(docs.where("doc_id is null"), name=fp)
+    return one.unionByName(bare.join(lone, fp, "left_semi").dropDuplicates([fp]).select(*docs.columns))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

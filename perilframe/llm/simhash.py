@@ -130,7 +130,8 @@ def _forest(prints: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
                     distance: int = 4, blocks: int = 7) -> DataFrame:
-    """One row (id, fingerprint, component_id) per row of ``docs``.
+    """One row (id, fingerprint, component_id, root) per row of ``docs``; root is the component's
+    smallest fingerprint.
 
     Texts whose fingerprints differ in ``distance`` bits or fewer are linked, null, empty and
     wordless texts (fingerprint 0) like any other. component_id is the smallest id reachable. Rows
@@ -144,12 +145,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     roots = connected_components(near_links(prints.select("fp"), distance, blocks))
     linked = prints.join(roots, prints["fp"] == roots["node"])
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
-    moved = linked.join(smallest, "root").select("fp", "smallest")
+    moved = linked.join(smallest, "root").select("fp", "smallest", "root")
     component = prints.join(moved, "fp", "left").select(
-        "fp", F.coalesce("smallest", "least").alias("component_id")
+        "fp", F.coalesce("smallest", "least").alias("component_id"), F.coalesce("root", "fp").alias("root")
     )
     return narrow.join(component, "fp").select(
-        F.col("id").alias(doc_id), F.col("fp").alias("fingerprint"), "component_id"
+        F.col("id").alias(doc_id), F.col("fp").alias("fingerprint"), "component_id", "root"
     )
 
 
