@@ -140,8 +140,7 @@ _FOUND = (
 )
 
 
-@F.arrow_udf(_FOUND)
-def _detect(text: pa.Array) -> pa.Array:
+def _rows(text: pa.Array) -> pa.Array:
     rows = []
     for value in text.to_pylist():
         spans = find(value)
@@ -168,7 +167,7 @@ def detect(docs: DataFrame, text: str = "text") -> DataFrame:
     repeated rows are treated alike; columns named as the added ones are replaced.
     """
     kept = free_columns(docs, *(a for a in ADDED if a.lower() != text.lower()), "_pii")
-    found = kept.withColumn("_pii", _detect(F.col(f"`{text}`")))
+    found = kept.withColumn("_pii", F.arrow_udf(_rows, _FOUND)(F.col(f"`{text}`")))
     columns = [F.col(f"_pii.{a}").alias(a) for a in ADDED if a != "redacted"]
     redacted = F.coalesce("_pii.redacted", f"`{text}`").alias("redacted")
     return found.select(*(F.col(f"`{c}`") for c in kept.columns), *columns, redacted)

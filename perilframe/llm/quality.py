@@ -22,13 +22,14 @@ WINDOW = 8
 #: Base limits: fewest words, and the largest share of words in repeated windows, in percent.
 LEAST_WORDS, MOST_REPEATED = 20, 30
 
-#: Measures that should be low: fine up to, bad from. The rule of each votes bad or abstains.
+#: Measures that should be low, as a count by a count: fine up to, bad from. The rule of each votes
+#: bad or abstains.
 LOW = {
-    "symbols": (F.try_divide("n_symbols", "n_words"), 0.05, 0.15),
-    "repeats": (F.try_divide("n_repeat_words", "n_words"), 0.2, 0.3),
-    "lines": (F.try_divide("n_dup_lines", "n_lines"), 0.35, 0.5),
-    "capitals": (F.try_divide("n_capitals", "word_chars"), 0.25, 0.4),
-    "shouts": (F.try_divide("n_shouts", "n_words"), 0.1, 0.25),
+    "symbols": ("n_symbols", "n_words", 0.05, 0.15),
+    "repeats": ("n_repeat_words", "n_words", 0.2, 0.3),
+    "lines": ("n_dup_lines", "n_lines", 0.35, 0.5),
+    "capitals": ("n_capitals", "word_chars", 0.25, 0.4),
+    "shouts": ("n_shouts", "n_words", 0.1, 0.25),
 }
 #: Words of a usable length; the rule votes bad outside.
 WORD_LENGTH = (2.5, 14.0)
@@ -103,12 +104,13 @@ def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 def votes() -> dict[str, Column]:
     """1 good, -1 bad, 0 no opinion, also where a measure is undefined, as without words."""
-    found = {n: F.when(m >= bad, -1).otherwise(0) for n, (m, _, bad) in LOW.items()}
+    share = {n: F.try_divide(count, of) for n, (count, of, _, _) in LOW.items()}
+    found = {n: F.when(share[n] >= bad, -1).otherwise(0) for n, (_, _, _, bad) in LOW.items()}
     length = F.try_divide("word_chars", "n_words")
     found["word_length"] = F.when(~length.between(*WORD_LENGTH), -1).otherwise(0)
     variety = F.try_divide("n_distinct", F.sqrt("n_words"))
     found["variety"] = F.when(variety < VARIETY, -1).otherwise(0)
-    fine = reduce(Column.__and__, (m <= good for m, good, _ in LOW.values()))
+    fine = reduce(Column.__and__, (share[n] <= fine for n, (_, _, fine, _) in LOW.items()))
     found["clean"] = F.when(fine, 1).otherwise(0)
     return found
 

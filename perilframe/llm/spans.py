@@ -23,7 +23,7 @@ def _sentences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return docs.select(
         F.col(f"`{doc_id}`").alias("id"),
-        F.split(F.regexp_replace(body, END, f"$1{MARK}"), MARK).alias("pieces"),
+        F.array_remove(F.split(F.regexp_replace(body, END, f"$1{MARK}"), MARK), "").alias("pieces"),
     )
 
 
@@ -62,8 +62,9 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
 #: The same in DuckDB's SQL, with a digest of what is kept.
 SQL = f"""
 WITH s AS (
-  SELECT doc_id, string_split(regexp_replace(coalesce(text, ''),
-    '([.!?][\\x20\\x09-\\x0D]+|\\n[\\x20\\x09-\\x0D]*)', '\\1' || chr(30), 'g'), chr(30)) AS pieces
+  SELECT doc_id, list_filter(string_split(regexp_replace(coalesce(text, ''),
+    '([.!?][\\x20\\x09-\\x0D]+|\\n[\\x20\\x09-\\x0D]*)', '\\1' || chr(30), 'g'), chr(30)),
+    lambda x: x <> '') AS pieces
   FROM documents
 ), p AS (
   SELECT doc_id, len(pieces) AS n, unnest(pieces) AS piece, unnest(range(len(pieces))) AS pos FROM s
@@ -79,8 +80,8 @@ WITH s AS (
 ), c AS (
   SELECT DISTINCT doc_id, unnest(range(pos, pos + {RUN})) AS pos FROM d WHERE nth > 1
 )
-SELECT k.doc_id, count(*) AS n_sentences, count(c.pos) AS n_removed,
+SELECT s.doc_id, count(k.pos) AS n_sentences, count(c.pos) AS n_removed,
   sha256(coalesce(string_agg(k.piece, '' ORDER BY k.pos) FILTER (WHERE c.pos IS NULL), '')) AS kept_sha256
-FROM k LEFT JOIN c ON c.doc_id = k.doc_id AND c.pos = k.pos
-GROUP BY k.doc_id
+FROM s LEFT JOIN k ON k.doc_id = s.doc_id LEFT JOIN c ON c.doc_id = k.doc_id AND c.pos = k.pos
+GROUP BY s.doc_id
 """

@@ -1,0 +1,260 @@
+"""Personal data, quality, language, packing, decontamination and toxicity."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from perilframe.llm import decontam, langid, packing, pii, quality, toxicity
+from perilframe.llm.queries import op6_langid, op10_toxicity, vocabulary
+
+
+def slow_spans(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(digits) <= 19 and pii.luhn(digits):
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def test_base_spans_match_plain_patterns():
+    draw = random.Random(1)
+    for _ in range(20_000):
+        text = "".join(draw.choice("a1.2@b-+ 3(%9é") for _ in range(draw.randint(0, 50)))
+        assert [s[:3] for s in pii.find(text) if s[0] in pii.BASE_KINDS] == slow_spans(text)
+
+
+def test_checks_context_and_redaction():
+    text = "IBAN DE89 3704 0044 0532 0130 00, mail a.b@c.de, card 4111 1111 1111 1111, not DE88 3704 0044 0532 0130 00"
+    spans = pii.find(text)
+    assert [s[0] for s in spans] == ["email", "card", "iban"]
+    assert pii.redact(text, spans) == "IBAN [IBAN], mail [EMAIL], card [CARD], not DE88 3704 0044 0532 0130 00"
+    low = pii.find("invoice sample GB82WEST12345698765432")
+    assert low == []  # the context outweighs the checksum
+    assert pii.find("9" * 100_000 + "a" * 100_000 + "@") == []
+
+
+def test_personal_data_of_odd_rows(odd_docs, no_docs):
+    rows = pii.detect(odd_docs.withColumn("SPANS", F.lit("clash"))).collect()
+    assert len(rows) == odd_docs.count()
+    assert all(r["redacted"] == r["text"] and r["spans"] == "" for r in rows)
+    assert pii.detect(no_docs).collect() == []
+
+
+def slow_measures(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, lines = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            lines += line in seen
+            seen.add(line)
+    runs = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {k for i in range(len(words) - 7) if runs[tuple(words[i : i + 8])] > 1 for k in range(i, i + 8)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), lines, len(covered)
+
+
+def test_measures_match_brute_force(small_docs, odd_docs, no_docs):
+    for docs in (small_docs, odd_docs):
+        texts = sorted((str(r["doc_id"]), *slow_measures(r["text"])) for r in docs.collect())
+        rows = quality.assess(docs).collect()
+        assert sorted((str(r["doc_id"]), *(r[m] for m in quality.MEASURES)) for r in rows) == texts
+        for r in rows:
+            failed = r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"]
+            assert r["base_failed"] == failed and not (failed and r["kept"])
+    assert quality.assess(no_docs).collect() == []
+
+
+def test_votes_find_labelled_junk(spark, sf_dir, small_docs):
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = [r for r in quality.assess(small_docs).collect() if r["doc_id"] in labels and not r["base_failed"]]
+    right = [r["kept"] == (labels[r["doc_id"]] == 1) for r in rows]
+    assert sum(right) >= 0.95 * len(right)
+
+
+def test_em_against_plain_loop(spark):
+    rows = [[0] * len(quality.RULES) + [n] for n in (50, 30, 20, 5)]
+    rows[1][0] = -1
+    rows[2][-1] = 1
+    rows[3][0], rows[3][-1] = -1, 1
+    found = quality.fit(spark.createDataFrame(rows, ", ".join(f"{r} int" for r in (*quality.RULES, "n"))), 10)
+    accuracy = dict.fromkeys(quality.RULES, quality.ACCURACY)
+    for _ in range(10):
+        total = {r: [0.0, 0.0] for r in quality.RULES}
+        for *votes, n in rows:
+            odds = np.prod([(a / (1 - a)) ** v for v, a in zip(votes, accuracy.values())])
+            good = odds / (1 + odds)
+            for rule, v in zip(quality.RULES, votes):
+                total[rule][0] += n * abs(v)
+                total[rule][1] += n * (good if v > 0 else 1 - good if v < 0 else 0)
+        accuracy = {
+            r: min(max((b + quality.WEIGHT * quality.ACCURACY) / (a + quality.WEIGHT), quality.BOUNDS[0]), quality.BOUNDS[1])
+            for r, (a, b) in total.items()
+        }
+    assert found == pytest.approx(accuracy)
+
+
+def test_language_of_held_out_documents(spark, sf_dir, small_docs):
+    lang = {r["doc_id"]: r["lang"] for r in small_docs.collect()}
+    rows = op6_langid(spark, sf_dir).collect()
+    held = [r for r in rows if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {i for i in lang if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.9 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_language_of_odd_rows(odd_docs, no_docs):
+    rows = {r["doc_id"]: r for r in langid.assess(odd_docs).collect()}
+    assert all(rows[i]["lang_pred"] == "und" and rows[i]["score"] == 0 for i in (1, 2, 3))
+    assert rows[6]["lang_pred"] in ("en", "de", "fr")
+    assert langid.assess(no_docs).collect() == []
+
+
+def check_pieces(rows, texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary())
+    ids = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in texts.items()}
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append(r)
+    assert set(pieces) == set(ids)
+    for i, parts in pieces.items():
+        at = 0
+        for p in sorted(parts, key=lambda p: p["start"]):
+            own = np.array(ids[i][at : at + p["length"]], "<u4")
+            assert (p["start"], p["doc_tokens"], p["ids_crc32"]) == (at, len(ids[i]), zlib.crc32(own.tobytes()))
+            at += p["length"]
+        assert at == len(ids[i])
+    padding = 0
+    for parts in sequences.values():
+        at = 0
+        for p in sorted(parts, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= 2048
+        padding += 2048 - at if at & (at - 1) else 0
+    return padding / sum(map(len, ids.values()))
+
+
+def test_pieces_hold_every_id_once(small_docs):
+    texts = {r["doc_id"]: r["text"] for r in small_docs.collect()}
+    assert check_pieces(packing.pack(small_docs, vocabulary()).collect(), texts) < 0.05
+
+
+def test_pieces_of_odd_texts(spark, no_docs, monkeypatch):
+    texts = {
+        1: None, 2: "", 3: " \n ", 4: "a" * 5000, 5: "x<|endoftext|>y z", 6: "It's 12.5 O'Neil's ÉCOLE straße İ Σίσυφος",
+        7: "don't, WE'LL! 5% a.b... ﬁ ½ ²", 8: "日本語 テスト。 👍🏽!!", 9: "wörd. " * 9000, 10: "<|", 11: "b　c \x1c d\x0be",
+    }
+    monkeypatch.setattr(packing, "BLOCK", 3000)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string").coalesce(1)
+    check_pieces(packing.pack(docs, vocabulary()).collect(), texts)
+    assert packing.pack(no_docs, vocabulary()).collect() == []
+
+
+def test_cuts_are_the_cheapest():
+    draw = np.random.default_rng(2)
+    for _ in range(30):
+        n, capacity, penalty = int(draw.integers(1, 60)), 16, 3.0
+        ids = draw.integers(0, 4, n)
+        docs = np.union1d(draw.integers(1, n + 1, 4), [n])
+        ends = packing.cut_points(ids, docs, np.array([0]), capacity, penalty)
+        sentence = set((np.flatnonzero(ids == 0) + 1).tolist()) | set(docs.tolist())
+
+        def cost(cuts):
+            return sum(
+                (0 if (b - a) in (1, 2, 4, 8, 16) and b > n - capacity else capacity - b + a)
+                + (0 if b in docs else penalty) for a, b in zip([0, *cuts], cuts))
+
+        assert ends[-1] == n and np.diff(np.r_[0, ends]).max() <= capacity
+        points = sorted(sentence)
+        if all(b - a <= capacity for a, b in zip([0, *points], points)):
+            best = {0: 0.0}
+            for j in points:
+                best[j] = min(best[i] + cost([j]) if i == 0 else best[i] + (
+                    0 if (j - i) in (1, 2, 4, 8, 16) and j > n - capacity else capacity - j + i
+                ) + (0 if j in docs else penalty) for i in best if j - i <= capacity)
+            assert cost(ends.tolist()) == pytest.approx(best[n])
+
+
+def test_all_items_within_the_radius_are_found():
+    draw = random.Random(4)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(4000)]
+    items = decontam.Items(list(range(200)), [" ".join(words[20 * i : 20 * i + 20]) for i in range(200)])
+    for _ in range(200):
+        probe = int(items.prints[draw.randrange(200)])
+        for _ in range(draw.randint(0, 22)):
+            probe ^= 1 << draw.randrange(64)
+        true = [i for i, p in enumerate(items.prints) if (int(p) ^ probe).bit_count() <= decontam.RADIUS]
+        assert items.within(probe).tolist() == true
+
+
+def test_benchmark_items_in_texts(spark, odd_docs, no_docs):
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(5))
+    items = [(i, " ".join(word() for _ in range(draw.randint(3, 40)))) for i in range(30)] + [(50, None), (51, ""), (None, "q r")]
+    filler = lambda n: " ".join(word() for _ in range(n))
+    rows, want = [], set()
+    for i in range(60):
+        k = draw.randrange(30)
+        own = items[k][1].split()
+        kind = i % 3
+        if kind == 1 and len(own) > 30:
+            own[15] = "changed"
+        text = own if kind < 2 else own[: len(own) // 2]
+        rows.append((i, f"{filler(20)} {' '.join(text).upper()}, {filler(7)}"))
+        runs = lambda w: Counter(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4)))
+        a, b = runs(text), runs(items[k][1].split())
+        if sum((a & b).values()) >= 0.8 * sum((a | b).values()):
+            want.add((i, k))
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    found = decontam.contaminated(spark.createDataFrame(rows, "doc_id int, text string"), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want
+    assert decontam.contaminated(odd_docs, benchmark).collect() == []
+    assert decontam.contaminated(no_docs, benchmark).collect() == []
+    assert decontam.contaminated(odd_docs, benchmark.limit(0)).collect() == []
+
+
+def test_nearest_examples_are_exact():
+    draw = np.random.default_rng(5)
+    weights = draw.random((500, 12)) * (draw.random((500, 12)) < 0.3)
+    weights = (weights / np.maximum(1e-9, np.linalg.norm(weights, axis=1, keepdims=True))).astype(np.float32)
+    index = toxicity.Index(list(range(500)), np.zeros(500), weights)
+    for _ in range(100):
+        at = np.sort(draw.choice(12, 4, replace=False))
+        weight = draw.random(4).astype(np.float32)
+        true = sorted((index.weights[:, at] @ weight).tolist(), reverse=True)[:15]
+        assert [s for s, _ in index.nearest(at, weight, 15)] == pytest.approx([t for t in true if t > 0], abs=1e-5)
+
+
+def test_toxicity_of_held_out_documents(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = op10_toxicity(spark, sf_dir).collect()
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in labels]
+    assert held and all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in held)
+    assert sum(r["predicted"] == labels[r["doc_id"]] for r in held) >= 0.9 * len(held)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+
+
+def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame(
+        [(1, None), (4, 1), (4, 0), (5, 0), (None, 1), (99, 1)], "doc_id long, toxic int")
+    assert len(toxicity.assess(odd_docs, labels).collect()) == odd_docs.count()
+    assert len(toxicity.assess(odd_docs, labels.limit(0)).collect()) == odd_docs.count()
+    assert toxicity.assess(no_docs, labels).collect() == []
