@@ -10,9 +10,11 @@ from __future__ import annotations
 import re
 
 from perilframe import schema
-from perilframe.functions.fixed import CONSTRUCTION_NUMBERS, PERILS, SOURCE_TAG
+from perilframe.functions.fixed import CONSTRUCTION_NUMBERS, PERILS
 from perilframe.sources import testdata as td
 
+SOURCE_TAG = "SRC"
+
 D = "DATE '1998-12-31'"
 NOW = "TIMESTAMP '2000-01-01 00:00:00'"
 FLAGS = schema.PERIL_FLAGS

@@ -89,8 +89,7 @@ _QUERIES: dict[str, str] = {
     "heritage_extract": lib.HERITAGE_EXTRACT,
     "fire_extract": lib.FIRE_EXTRACT,
     "policy_term_extract": lib.POLICY_TERM_EXTRACT,
-    "view_location": _view("location"),
-    "view_policy_term": _view("policy_term"),
+    **{f"view_{t}": _view(t) for t in schema.VIEWED},
     "ct_contract_counts": lib.counts("con", "Contract_rec_Count"),
     "ct_location_counts": lib.counts("loc", "Location_rec_Count"),
     "ct_building_sum": lib.sums("BuildingValue", "Location_sum_Building", "SumBuildingValue"),

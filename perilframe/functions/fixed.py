@@ -8,9 +8,6 @@ must stay exactly as they are for results to match.
 PERILS = ("FIRE", "HURRICANE", "EARTHQUAKE", "FLOOD", "WIND_HAIL", "TERRORISM", "NBCR")
 NO_PERIL = "(none)"
 
-# Prefix of the source-system columns of both files.
-SOURCE_TAG = "XDM"
-
 # Separators of the folded lists.
 PRODUCT_SEPARATOR = "___"
 PERIL_SEPARATOR = ", "

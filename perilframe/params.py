@@ -5,8 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from perilframe.functions.fixed import SOURCE_TAG
-
 
 @dataclass(frozen=True)
 class InForce:
@@ -35,7 +33,8 @@ class RunParams:
 
     as_of: date
     now: datetime
-    source_tag: str = SOURCE_TAG
+    # Marks values and columns that come from the source system.
+    source_tag: str
     # The written-premium join tests the transaction type but keeps every amount;
     # True restricts the sum to direct business instead.
     direct_premium_only: bool = False

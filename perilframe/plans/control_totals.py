@@ -108,7 +108,7 @@ def location_count_drift(current: DataFrame, prior: DataFrame) -> DataFrame:
             "Current_loccount",
             (F.col("Prior_loccount") - F.col("Current_loccount")).alias("Diff"),
         )
-        .orderBy(F.desc("Diff"))
+        .orderBy(F.desc("Diff"), "Priorcontractid", "Currentcontractid")
     )
 
 

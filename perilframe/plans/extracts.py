@@ -43,6 +43,8 @@ EXTRACT_FLAGS = tuple(
 )
 POLICY_ORDER = ("t.policy_number_cd", "t.policy_module_cd", "structure.location_cd",
                 "structure.building_cd")
+# Ids that end every order, so that no key's rows are one range.
+UNIQUE_ORDER = ("structure.risk_property_structure_id", "rpp.risk_peril_product_id")
 # Amounts the heritage layout leaves to a later step.
 LEFT_EMPTY = ("building_deductible_amt", "contents_deductible_amt", "bi_deductible_amt")
 
@@ -101,7 +103,7 @@ def heritage_extract(
         "left",
     )
     if ordered:
-        rows = rows.orderBy(*POLICY_ORDER, "peril.peril_cd")
+        rows = rows.orderBy(*POLICY_ORDER, "peril.peril_cd", *UNIQUE_ORDER)
     return rows.select(
         "t.policy_term_id",
         *from_table("risk", ("location_id", "risk_id")),
@@ -140,8 +142,8 @@ def heritage_extract(
     )
 
 
-def _open_business(as_of: date) -> Column:
-    return F.col("business_unit_cd").like("A%") & term_in_force(as_of, InForce())
+def _open_business(as_of: date, units: str) -> Column:
+    return F.col("business_unit_cd").like(units) & term_in_force(as_of, InForce())
 
 
 FIRE_LIMITS = tuple(
@@ -157,14 +159,15 @@ FIRE_DEDUCTIBLES = ("blanket_deductible_amt", "blanket_bldg_deductible_amt",
 
 
 def fire_extract(
-    mart: Mart, as_of: date, perils: tuple[str, ...] = ("FIRE",), ordered: bool = True
+    mart: Mart, as_of: date, units: str, other_than: str, perils: tuple[str, ...] = ("FIRE",),
+    ordered: bool = True,
 ) -> DataFrame:
-    """Fire exposure of the ``A`` business units outside one profit centre."""
-    rows = _spine(mart, _open_business(as_of), alive(as_of, Alive())).filter(
-        (F.col("b.profit_center_cd") != "2758") & F.col("peril.peril_cd").isin(*perils)
+    """Fire exposure of business units like ``units`` outside one profit centre."""
+    rows = _spine(mart, _open_business(as_of, units), alive(as_of, Alive())).filter(
+        (F.col("b.profit_center_cd") != other_than) & F.col("peril.peril_cd").isin(*perils)
     )
     if ordered:
-        rows = rows.orderBy(*POLICY_ORDER)
+        rows = rows.orderBy(*POLICY_ORDER, *UNIQUE_ORDER)
     return rows.select(
         *from_table("t", ("business_unit_cd", "business_unit_desc")),
         *from_table("b", ("profit_center_cd", "profit_center_desc")),
@@ -187,20 +190,23 @@ def fire_extract(
     )
 
 
-def policy_term_extract(mart: Mart, as_of: date, ordered: bool = True) -> DataFrame:
-    """Policy terms of the ``A`` business units, once per row of the full join.
+def policy_term_extract(mart: Mart, as_of: date, units: str, ordered: bool = True) -> DataFrame:
+    """Policy terms of business units like ``units``, once per row of the full join.
 
     The joins below the policy only repeat a term, so they run on its id and the sort
     columns alone; the wide policy rows join once at the end.
     """
     narrow = (
-        _spine(mart, _open_business(as_of), alive(as_of, Alive()))
-        .select("t.policy_term_id", "structure.location_cd", "structure.building_cd")
+        _spine(mart, _open_business(as_of, units), alive(as_of, Alive()))
+        .select("t.policy_term_id", "structure.location_cd", "structure.building_cd",
+                "structure.risk_property_structure_id", "rpp.risk_peril_product_id")
         .alias("structure")
     )
     rows = narrow.join(mart["policy_term"].alias("t"), on_same("structure", "t", "policy_term_id"))
     if ordered:
-        rows = rows.orderBy(*POLICY_ORDER)
+        rows = rows.orderBy(
+            *POLICY_ORDER, "structure.risk_property_structure_id", "structure.risk_peril_product_id"
+        )
     return rows.select("t.*")
 
 

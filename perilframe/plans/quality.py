@@ -80,11 +80,20 @@ def initial_final(pif: DataFrame, detail: DataFrame, file: DataFrame) -> DataFra
         )
 
     rows = F.count(F.lit(1))
+    # The file is built once for both of its counts.
+    final = file.agg(F.countDistinct("ContractID").alias("p"), rows.alias("l")).select(
+        F.inline(F.array(*(
+            F.struct(
+                F.lit(name).alias("granularity"), F.lit("Final").alias("source_name"),
+                F.col(c).cast("bigint").alias("record_count"),
+            )
+            for name, c in (("Policy", "p"), ("Location", "l"))
+        )))
+    )
     return (
         row(pif, "Policy", "Initial", rows)
-        .union(row(file, "Policy", "Final", F.countDistinct("ContractID")))
         .union(row(detail, "Location", "Initial", F.countDistinct("risk_id")))
-        .union(row(file, "Location", "Final", rows))
+        .union(final)
         .distinct()
     )
 

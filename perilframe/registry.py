@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perilframe import schema
 from perilframe.functions.dialect import alive, term_in_force
 from perilframe.operators import deductible as ded
 from perilframe.operators import layers as lay
@@ -28,9 +29,11 @@ from perilframe.sources.testdata import mart_of_testdata, snapshots_of_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = date(1998, 12, 31)
-PARAMS = RunParams(as_of=AS_OF, now=datetime(2000, 1, 1))
-# Terms always kept in the sample, as a list of named policies.
-KEPT_TERMS = (8341, 13662)
+PARAMS = RunParams(as_of=AS_OF, now=datetime(2000, 1, 1), source_tag="SRC")
+# Terms always kept in the sample; term 66 is in force and past the fifth of its group.
+KEPT_TERMS = (61, 66)
+# The open business that two extracts report, and the profit centre that one leaves out.
+UNITS, LEFT_OUT = "A%", "2758"
 
 IN_FORCE_VARIANTS = {
     "contract": InForce(),
@@ -92,8 +95,8 @@ def _selection(mart: Mart) -> DataFrame:
         terms,
         {
             "one unit": F.col("business_unit_cd") == "GARS",
-            "units like A": F.col("business_unit_cd").like("A%"),
-            "other centres": F.col("profit_center_cd") != "2758",
+            "units like A": F.col("business_unit_cd").like(UNITS),
+            "other centres": F.col("profit_center_cd") != LEFT_OUT,
         },
     )
     perils = mart["risk_peril_product"].join(mart["peril"].select("peril_id", "peril_cd"), "peril_id")
@@ -108,6 +111,10 @@ def _block(number: int) -> Query:
     return _location(make)
 
 
+def _view(table: str) -> Query:
+    return _on_mart(lambda m: view(m, table))
+
+
 def _small_pif(mart: Mart) -> DataFrame:
     return loc.location_pif(mart, PARAMS)
 
@@ -222,10 +229,9 @@ QUERIES: dict[str, Query] = {
     ),
     # extracts
     "heritage_extract": _on_mart(lambda m: ext.heritage_extract(m, "GARS", "GARS_Condo", AS_OF)),
-    "fire_extract": _on_mart(lambda m: ext.fire_extract(m, AS_OF)),
-    "policy_term_extract": _on_mart(lambda m: ext.policy_term_extract(m, AS_OF)),
-    "view_location": _on_mart(lambda m: view(m, "location")),
-    "view_policy_term": _on_mart(lambda m: view(m, "policy_term")),
+    "fire_extract": _on_mart(lambda m: ext.fire_extract(m, AS_OF, UNITS, LEFT_OUT)),
+    "policy_term_extract": _on_mart(lambda m: ext.policy_term_extract(m, AS_OF, UNITS)),
+    **{f"view_{t}": _view(t) for t in schema.VIEWED},
     # control totals
     "ct_contract_counts": _files("contract", lambda c: ct.snapshot_counts(c, "Contract_rec_Count")),
     "ct_location_counts": _files("location", lambda c: ct.snapshot_counts(c, "Location_rec_Count")),
@@ -287,5 +293,5 @@ QUERIES: dict[str, Query] = {
     "dq_initial_final": _on_mart(lambda m: _initial_final(m, by_policy=False)),
     "dq_initial_final_policy": _on_mart(lambda m: _initial_final(m, by_policy=True)),
     "dq_hash_subset": _on_mart(lambda m: dq.staged_subset(_location_rows(m), _staged_hashes(m))),
-    "dq_preview": _on_mart(lambda m: ext.preview(ext.policy_term_extract(m, AS_OF))),
+    "dq_preview": _on_mart(lambda m: ext.preview(ext.policy_term_extract(m, AS_OF, UNITS))),
 }

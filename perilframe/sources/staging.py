@@ -2,23 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
-
-
-@cache
-def _local_root() -> str:
-    """Temporary folder of this process, removed when it ends. Local sessions only."""
-    root = tempfile.mkdtemp(prefix="perilframe-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return root
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 class Stage:
@@ -34,15 +23,10 @@ class Stage:
         self._root = f"{root.rstrip('/')}/perilframe/{uuid.uuid4().hex}"
 
     @classmethod
-    def of(cls, spark: SparkSession) -> Stage | None:
-        """A stage in the session's shared folder. Without one, a local session gets a
-        temporary folder; a cluster gets no stage, and its plans stay lazy throughout."""
-        root = spark.conf.get(SHARED_DIR, None)
-        if not root:
-            if not spark.conf.get("spark.master", "").startswith("local"):
-                return None
-            root = _local_root()
-        return cls(spark, root)
+    def of(cls, spark: SparkSession) -> Stage:
+        """A stage in the session's shared folder, or in the warehouse, which executors share as
+        well, where none is set. The same on every master."""
+        return cls(spark, spark.conf.get(SHARED_DIR, None) or spark.conf.get(WAREHOUSE))
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         path = f"{self._root}/{name}"

@@ -421,8 +421,6 @@ def _load(spark: SparkSession, sf_dir: str) -> Callable[[str, DataFrame], DataFr
         written: dict[str, DataFrame] = {}
 
         def load(name: str, frame: DataFrame) -> DataFrame:
-            if stage is None:
-                return frame
             if name not in written:
                 written[name] = stage.keep(frame, name)
             return written[name]

@@ -42,7 +42,7 @@ def sf_dir():
 def params():
     from perilframe.params import RunParams
 
-    return RunParams(as_of=date(2020, 6, 30), now=datetime(2020, 7, 1))
+    return RunParams(as_of=date(2020, 6, 30), now=datetime(2020, 7, 1), source_tag="SRC")
 
 
 @pytest.fixture(scope="session")

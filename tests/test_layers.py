@@ -59,7 +59,7 @@ def contract(mart):
 
     from perilframe.params import RunParams
 
-    return Contract(mart, RunParams(date(2020, 6, 30), datetime(2020, 7, 1)))
+    return Contract(mart, RunParams(date(2020, 6, 30), datetime(2020, 7, 1), "SRC"))
 
 
 def _by_term(df, column):
@@ -109,7 +109,6 @@ def test_staging_changes_nothing(spark, sf_dir):
 
     mart = mart_of_testdata(spark, sf_dir)
     stage = Stage.of(spark)
-    assert stage is not None
     lazy, staged = Contract(mart, PARAMS).file(), Contract(mart, PARAMS, stage).file()
     assert len(lazy.columns) == len({c.lower() for c in lazy.columns}) == 65
     assert sorted(map(str, lazy.collect())) == sorted(map(str, staged.collect()))
