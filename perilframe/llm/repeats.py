@@ -25,8 +25,8 @@ from perilframe.llm.common import runs, staged, text_bytes
 
 #: Bytes of a repeated string; bytes of a gram, whose windows hold LENGTH - GRAM + 1 of them.
 LENGTH, GRAM = 200, 64
-#: Occurrences of an anchor (13 MB with their bytes) from which its windows are counted one by one.
-HOT = 50_000
+#: Occurrences of an anchor (half a MB with their bytes) from which its windows are counted one by one.
+HOT = 2000
 _CHUNK = 1 << 19
 _PLACE = (1 << 20) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
