@@ -1,4 +1,4 @@
-"""The ten operators as named queries over the given tables, and their SQL where it can say them."""
+"""The operators as named queries over the given tables, and their SQL where it can say them."""
 
 from __future__ import annotations
 
@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from perilframe.llm import (
     decontam,
+    infill,
     langid,
     packing,
+    periods,
     pii,
     quality,
     repeats,
     simhash,
     spans,
     toxicity,
+    trust,
     warc,
 )
 
@@ -88,6 +91,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of whole texts, learnt from trusted good ones and unlabelled ones."""
+    return trust.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of whole texts: the longest, and digests of all and of what is kept."""
+    found = periods.collapse(_table(spark, sf_dir, "documents"), order=periods.echoed)
+    ahead = lambda a, b: F.when(a["length"] >= b["length"], a).otherwise(b)
+    first = F.get("runs", F.lit(0))
+    longest = F.aggregate("runs", first, ahead)  # runs are in order, so the first of equal ones stays
+    found = found.withColumn("longest", longest)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"), F.col("longest.length").alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).cast("long").alias("exponent_milli"),
+        periods.runs_digest().alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts rearranged for filling in the middle, and restored from that."""
+    made = infill.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(infill.restored().cast("binary"), 256).alias("restored_sha256"))
+
+
 def vocabulary() -> str:
     """Where the public tokenizers keep the vocabulary that the packed ids come from."""
     import public_tokenizers
@@ -111,5 +144,12 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_spans": op9_spans,
     "op10_toxicity": op10_toxicity,
+    "op11_trust": op11_trust,
+    "op12_periods": op12_periods,
+    "op13_infill": op13_infill,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": warc.SQL,
+    "op9_spans": spans.SQL,
+    "op13_infill": infill.SQL,
 }
-ORACLE_SQL: dict[str, str] = {"op2_warc": warc.SQL, "op9_spans": spans.SQL}
