@@ -1,87 +1,165 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of several consecutive sentences is hashed; runs are joined globally on the hash, and
-sentences covered by any repeated run other than its first are removed. DataFrame operations only.
+From every sentence on, the shortest run of several consecutive sentences that is long enough is hashed;
+runs are joined globally on the hash, and sentences covered by any repeated run other than its first are
+removed. A long sentence counts as its clauses, so that a passage of one or two such sentences, or one
+glued to other text at its ends, holds whole runs too. Where a run ends depends on what it says alone.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.llm.common import staged
 
-#: Sentences of a run.
-RUN = 3
-#: A sentence ends after its mark and the blanks behind it, or after a line.
-END = "([.!?][\\x20\\x09-\\x0D]+|\\n[\\x20\\x09-\\x0D]*)"
+#: Sentences of a run, and its characters without the blanks between them, at least.
+RUN, SIZE = 2, 120
+#: Characters from which a sentence goes by its clauses.
+LONG = 90
 BLANKS = " \t\n\x0b\x0c\r"
-MARK = "\x1e"
+#: A sentence ends after its mark and the blanks behind it, or after a line; a clause after its mark or a
+#: word of nine characters or more.
+SENTENCE_END = "[.!?][\\x20\\x09-\\x0D]+|\\n[\\x20\\x09-\\x0D]*"
+CLAUSE_END = "[,;:][\\x20\\x09-\\x0D]+|[^\\x20\\x09-\\x0D]{9}[\\x20\\x09-\\x0D]+"
+_SENTENCE, _CLAUSE = re.compile(SENTENCE_END), re.compile(CLAUSE_END)
 
 
-def _sentences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    return docs.select(
-        F.col(f"`{doc_id}`").alias("id"),
-        F.array_remove(F.split(F.regexp_replace(body, END, f"$1{MARK}"), MARK), "").alias("pieces"),
-    )
+def _parts(text: str, end: re.Pattern) -> list[str]:
+    """The text cut behind each match."""
+    borders = [0, *(m.end() for m in end.finditer(text)), len(text)]
+    return [text[a:b] for a, b in zip(borders, borders[1:]) if a < b]
+
+
+def sentences(text: str) -> list[str]:
+    """Pieces that together are the text: sentences, long ones as clauses."""
+    out: list[str] = []
+    for sentence in _parts(text, _SENTENCE):
+        if len(sentence) > LONG:
+            out += _parts(sentence, _CLAUSE)
+        else:
+            out.append(sentence)
+    return out
+
+
+def runs_of(pieces: list[str], run: int, size: int) -> tuple[list[str], np.ndarray]:
+    """The pieces without blanks around them, and where the run that starts at each one ends; runs that
+    the text's end cuts short are left out."""
+    keys = [p.strip(BLANKS) for p in pieces]
+    sums = np.cumsum([0, *map(len, keys)])
+    stop = np.maximum(np.searchsorted(sums, sums[:-1] + size), np.arange(len(keys)) + run)
+    return keys, stop[stop <= len(keys)]
+
 
+def _hashed(run: int, size: int):
+    def hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nth, places, digests = [], [], []
+            for row, text in enumerate(batch.column(2).to_pylist()):
+                keys, stop = runs_of(sentences(text or ""), run, size)
+                digests += (
+                    # No sentence has a line's end inside, so the join is unambiguous.
+                    xxhash.xxh3_128_digest("\n".join(keys[a:b])) for a, b in enumerate(stop.tolist()))
+                places.append(np.arange(len(stop), dtype=np.int32))
+                nth.append(np.full(len(stop), row))
+            if digests:
+                half = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                owner = pa.array(np.concatenate(nth))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(np.concatenate(places)),
+                     pa.array(half[:, 0]), pa.array(half[:, 1])], ["row", "id", "at", "high", "low"])
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
+    return hashes
+
+
+def _cut(run: int, size: int):
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, removed, kept = [], [], []
+            for text, starts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                pieces = sentences(text or "")
+                keep = np.ones(len(pieces), bool)
+                if starts:
+                    stop = runs_of(pieces, run, size)[1]
+                    for at in starts:
+                        keep[at : stop[at]] = False
+                total.append(len(pieces))
+                removed.append(len(pieces) - int(keep.sum()))
+                kept.append("".join(p for p, k in zip(pieces, keep.tolist()) if k) if starts else text or "")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                ["id", "n_sentences", "n_removed", "kept_text"])
+
+    return cut
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN,
+                 size: int = SIZE) -> DataFrame:
     """id, n_sentences, n_removed and ``kept_text`` of every document.
 
-    Runs are equal if their sentences are, blanks around these aside. The first of equal runs is the
-    one with the smallest id (null before all), then place; rows that share an id count as one
-    document. Null text is empty; with fewer than ``run`` sentences nothing is removed. What is kept is
-    the pieces of the text as they were; a record separator (U+001E) ends a sentence and is not kept.
-    Other columns are ignored.
+    Runs are equal if their sentences are, blanks around these aside; they are compared by 128 bits. The
+    first of equal runs is the one with the smallest id (null before all), then place; rows that share an
+    id are texts of their own, in the order of the table. Null text is empty; a text shorter than a run
+    loses nothing. What is kept is the sentences as they were. Other columns are ignored.
     """
-    pieces = _sentences(docs, doc_id, text)
-    keyed = pieces.select("id", F.transform("pieces", lambda p: F.trim(p, F.lit(BLANKS))).alias("keys"))
-    starts = F.when(F.size("keys") >= run, F.sequence(F.lit(1), F.size("keys") - (run - 1)))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("keys", i, run)))
-    runs = staged(keyed.select("id", F.posexplode(hashes).alias("at", "hash")))
-    first = runs.groupBy("hash").agg(
-        F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("first")
-    ).where("n > 1")
-    later = runs.join(first, "hash").where(~F.struct("id", "at").eqNullSafe(F.col("first")))
-    covered = F.flatten(F.transform(F.collect_set("at"), lambda i: F.sequence(i, i + (run - 1))))
-    gone = staged(later.groupBy(F.col("id").alias("gone_id")).agg(F.array_distinct(covered).alias("gone")))
-    joined = pieces.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("pieces") - 1), F.col("gone"))
-    return joined.select(
-        F.col("id").alias(doc_id),
-        F.size("pieces").cast("long").alias("n_sentences"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.array_join("pieces", ""))
-        .otherwise(F.array_join(F.transform(kept, lambda i: F.get("pieces", i)), ""))
-        .alias("kept_text"),
+    narrow = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    texts = staged(narrow.select(F.monotonically_increasing_id().alias("row"), "id", "text"))
+    kind = texts.schema["id"].dataType.simpleString()
+    found = staged(texts.mapInArrow(_hashed(run, size), f"row long, id {kind}, at int, high long, low long"))
+    key = ["high", "low"]
+    # Written down, so that both sides of the join below come from plain shuffles, which may be split.
+    first = staged(found.groupBy(*key).agg(
+        F.count("*").alias("n"), F.min(F.struct("id", "row", "at")).alias("first")).where("n > 1")
+        .select(*key, F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")))
+    later = found.drop("id").join(first, key).where("row <> first_row or at <> first_at")
+    gone = later.groupBy("row").agg(F.collect_list("at").alias("gone"))
+    return (
+        texts.join(gone, "row", "left").select("id", "text", "gone")
+        .mapInArrow(_cut(run, size), f"id {kind}, n_sentences long, n_removed long, kept_text string")
+        .withColumnRenamed("id", doc_id)
     )
 
 
 #: The same in DuckDB's SQL, with a digest of what is kept.
 SQL = f"""
 WITH s AS (
-  SELECT doc_id, list_filter(string_split(regexp_replace(coalesce(text, ''),
-    '([.!?][\\x20\\x09-\\x0D]+|\\n[\\x20\\x09-\\x0D]*)', '\\1' || chr(30), 'g'), chr(30)),
-    lambda x: x <> '') AS pieces
-  FROM documents
+  SELECT doc_id, unnest(x) AS sentence, unnest(range(len(x))) AS nth FROM (
+    SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '(?s).*?(?:{SENTENCE_END}|\\z)'),
+      lambda x: x <> '') AS x FROM documents)
+), c AS (
+  SELECT doc_id, nth, CASE WHEN length(sentence) > {LONG} THEN list_filter(
+    regexp_extract_all(sentence, '(?s).*?(?:{CLAUSE_END}|\\z)'), lambda x: x <> '')
+    ELSE [sentence] END AS x FROM s
+), f AS (
+  SELECT doc_id, nth, unnest(x) AS piece, unnest(range(len(x))) AS part FROM c
 ), p AS (
-  SELECT doc_id, len(pieces) AS n, unnest(pieces) AS piece, unnest(range(len(pieces))) AS pos FROM s
+  SELECT doc_id, piece, row_number() OVER w - 1 AS pos,
+    trim(piece, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+  FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY nth, part)
 ), k AS (
-  SELECT doc_id, n, piece, pos,
-    trim(piece, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM p
+  SELECT *, sum(length(key)) OVER (PARTITION BY doc_id ORDER BY pos) AS up_to FROM p
+), e AS (
+  SELECT doc_id, up_to, min(pos) AS last FROM k GROUP BY doc_id, up_to
 ), r AS (
-  SELECT doc_id, pos, n, list(key) OVER (
-    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {RUN - 1} FOLLOWING) AS run FROM k
+  SELECT k.doc_id, k.pos, greatest(e.last, k.pos + {RUN - 1}) AS last
+  FROM k ASOF JOIN e ON k.doc_id = e.doc_id AND k.up_to - length(k.key) + {SIZE} <= e.up_to
+), t AS (
+  SELECT r.doc_id, r.pos, r.last, string_agg(k.key, chr(10) ORDER BY k.pos) AS run
+  FROM r JOIN k ON k.doc_id = r.doc_id AND k.pos BETWEEN r.pos AND r.last
+  GROUP BY r.doc_id, r.pos, r.last HAVING count(*) = r.last - r.pos + 1
 ), d AS (
-  SELECT doc_id, pos, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth
-  FROM r WHERE pos <= n - {RUN}
-), c AS (
-  SELECT DISTINCT doc_id, unnest(range(pos, pos + {RUN})) AS pos FROM d WHERE nth > 1
+  SELECT doc_id, pos, last, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth FROM t
+), g AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, last + 1)) AS pos FROM d WHERE nth > 1
 )
-SELECT s.doc_id, count(k.pos) AS n_sentences, count(c.pos) AS n_removed,
-  sha256(coalesce(string_agg(k.piece, '' ORDER BY k.pos) FILTER (WHERE c.pos IS NULL), '')) AS kept_sha256
-FROM s LEFT JOIN k ON k.doc_id = s.doc_id LEFT JOIN c ON c.doc_id = k.doc_id AND c.pos = k.pos
+SELECT s.doc_id, count(k.pos) AS n_sentences, count(g.pos) AS n_removed,
+  sha256(coalesce(string_agg(k.piece, '' ORDER BY k.pos) FILTER (WHERE g.pos IS NULL), '')) AS kept_sha256
+FROM documents s LEFT JOIN k ON k.doc_id = s.doc_id LEFT JOIN g ON g.doc_id = k.doc_id AND g.pos = k.pos
 GROUP BY s.doc_id
 """

@@ -145,11 +145,64 @@ def test_removals_of_odd_rows(odd_docs, no_docs):
 def test_sentence_runs(spark):
     a, b, c, d = "One here. ", "Two there! ", "Three\n", "Four? "
     rows = [(2, a + b + c + d), (1, "Start. " + a + b + c), (3, a + b), (4, a + b + c + a + b + c), (5, None), (6, "")]
-    found = {r["doc_id"]: r for r in spans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in spans.deduplicated(frame, run=3, size=0).collect()}
     assert {i: (r["n_removed"], r["kept_text"]) for i, r in found.items()} == {
         1: (0, rows[1][1]), 2: (3, d), 3: (0, a + b), 4: (6, ""), 5: (0, ""), 6: (0, "")}
 
 
+def test_rows_that_share_an_id_are_texts_of_their_own(spark):
+    rows = [(1, "Aa one. Bb two. Cc three."), (7, "Pp qq. Aa one. Bb two. Cc three."),
+            (7, "Xx un. Yy deux. Zz trois. Qq quatre."), (8, "a\x1eb c"),
+            (None, "Xx un. Yy deux. Zz trois. "), (None, "Nothing. Like. That.")]
+    found = spans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), run=3, size=0).collect()
+    assert sorted((r["doc_id"] or 0, r["n_removed"], r["kept_text"]) for r in found) == [
+        (0, 0, rows[5][1]), (0, 0, rows[4][1]), (1, 0, rows[0][1]), (7, 3, "Pp qq. "),
+        (7, 3, "Qq quatre."), (8, 0, "a\x1eb c")]
+
+
+@pytest.mark.parametrize("ends", [". ", ", "])
+def test_a_long_sentence_in_other_text_is_caught(spark, ends):
+    draw = random.Random(8)
+    words = lambda n: [
+        "".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 10))) for _ in range(n)]
+    passage = " ".join(words(60))
+    rows = [(i, " ".join(words(30)) + ends.rstrip() + " " + passage + " " + " ".join(words(20)) + ends) for i in range(3)]
+    found = spans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = {r["doc_id"]: r["kept_text"] for r in found}
+    assert kept[0] == rows[0][1]
+    for i in (1, 2):
+        lost = len(rows[i][1]) - len(kept[i])
+        assert 0.6 * len(passage) < lost <= len(passage) + 2
+
+
+def slow_spans_removed(rows, run, size):
+    """Removed sentences by comparing every two runs."""
+    runs = []
+    for row, (key, text) in enumerate(rows):
+        keys = [p.strip(spans.BLANKS) for p in spans.sentences(text or "")]
+        for a in range(len(keys)):
+            b = next((b for b in range(a + run, len(keys) + 1) if sum(map(len, keys[a:b])) >= size), None)
+            if b is not None:
+                runs.append(((key is not None, key or 0, row, a), row, range(a, b), keys[a:b]))
+    gone = [set() for _ in rows]
+    for place, row, span, said in runs:
+        if any(other[3] == said and other[0] < place for other in runs):
+            gone[row] |= set(span)
+    return sorted((r[0] is not None, r[0] or 0, len(g)) for r, g in zip(rows, gone))
+
+
+def test_sentence_runs_match_brute_force(spark):
+    draw = random.Random(2)
+    said = ["Of. ", "In the end! ", "A line without a mark\n", "So it goes on and on, as ever. ", "Why? "]
+    rows = [(draw.choice([None, *range(20)]), "".join(draw.choices(said, k=draw.randint(0, 9)))) for _ in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for run, size in ((2, 30), (3, 0), (1, 20)):
+        got = spans.deduplicated(frame, run=run, size=size).collect()
+        assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_removed"]) for r in got) == \
+            slow_spans_removed(rows, run, size)
+
+
 def test_sentence_runs_of_odd_rows(odd_docs, no_docs):
     rows = spans.deduplicated(odd_docs).collect()
     assert len(rows) >= odd_docs.count()
