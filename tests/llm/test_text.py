@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,6 +231,42 @@ def test_benchmark_items_in_texts(spark, odd_docs, no_docs):
     assert decontam.contaminated(odd_docs, benchmark.limit(0)).collect() == []
 
 
+def test_all_windows_against_brute_force():
+    """Items with words changed, left out and put in: every item that any window reaches is found, at the
+    best window's similarity, but for what lies beyond the radius (counted)."""
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(5))
+    texts = [[word() for _ in range(draw.randint(2, 60))] for _ in range(40)]
+    items = decontam.Items(list(range(40)), [" ".join(t) for t in texts])
+    true = missed = 0
+    for _ in range(150):
+        own = list(draw.choice(texts))
+        for _ in range(draw.randint(0, 3)):
+            at = draw.randrange(len(own) + 1)
+            own[at : at + draw.randint(0, 1)] = [word()] * draw.randint(0, 1)
+        body = [word() for _ in range(draw.randint(0, 15))] + own + [word() for _ in range(draw.randint(0, 15))]
+        got = items.search(pa.array([" ".join(body)]))[0]
+        for k, text in enumerate(texts):
+            size, width = min(len(text), len(body)), min(5, len(text))
+            runs = lambda w: Counter(tuple(w[j : j + width]) for j in range(len(w) - width + 1))  # noqa: E731, B023
+            a = runs(text)
+            like = max((sum((a & runs(body[s : s + size])).values()) / sum((a | runs(body[s : s + size])).values())
+                        for s in range(len(body) - size + 1)), default=0) if size >= width else 0
+            true += like >= 0.8
+            missed += like >= 0.8 and k not in got
+            assert (k in got) <= (like >= 0.8) and (k not in got or got[k][0] == pytest.approx(like))
+    assert true > 70 and missed == 0
+
+
+def test_items_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BYTES_A_PASS", 200)
+    items = [(i, f"only item number {i} has these very words") for i in range(20)] + [(3, "only item number 3 has these very words")]
+    docs = spark.createDataFrame([(i, f"see only item number {i} has these very words", 7) for i in range(20)],
+                                 "doc_id int, text string, matches int")
+    found = decontam.contaminated(docs, spark.createDataFrame(items, "item_id int, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == sorted([(i, i) for i in range(20)] + [(3, 3)])
+
+
 def test_nearest_examples_are_exact():
     draw = np.random.default_rng(5)
     weights = draw.random((500, 12)) * (draw.random((500, 12)) < 0.3)
