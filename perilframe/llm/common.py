@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -73,6 +74,15 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Python workers serve one stage after another, and what their
+    allocators hold back adds up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Different terms, the term at each place, and where each text begins (and the last ends).
     A term is a word in lower case without signs around it; words of signs only are left out."""

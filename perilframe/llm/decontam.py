@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from perilframe.llm.common import fresh, shingle_hashes, term_hashes, terms
+from perilframe.llm.common import fresh, give_back, shingle_hashes, term_hashes, terms
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Differing bits up to which items are verified. Texts of similarity 0.8 differ in 10 of 64 bits on
@@ -205,7 +205,9 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
                  for i, m in sorted(found.items())]
                 for found in items.search(texts)
             ]
-            return pa.array(out, arrow)
+            made = pa.array(out, arrow)
+            give_back()
+            return made
 
         return find(F.col(f"`{text}`"))
 

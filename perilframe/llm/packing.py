@@ -1,10 +1,10 @@
 """Packing documents into token sequences by order-preserving dynamic programming.
 
 The documents of an input partition form one stream of tokens in their order. The stream is cut
-into windows of at most ``capacity`` tokens at document or sentence ends (anywhere only where a
-sentence is longer than a window), minimising padding plus a penalty per document cut. A window as
-long as a power of two needs no padding. Each task packs its own partition in blocks of bounded
-size, so nothing is shuffled, and a task that runs again gives the same sequences.
+into windows of at most ``capacity`` tokens at document or sentence ends, and inside long sentences at
+any token, minimising padding plus a penalty per cut. A window as long as a power of two needs no
+padding. Each task packs its own partition in blocks of bounded size, so nothing is shuffled, and a
+task that runs again gives the same sequences.
 """
 
 from __future__ import annotations
@@ -22,17 +22,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import fresh
+from perilframe.llm.common import fresh, give_back
 
 CAPACITY = 2048
 #: The id after the last token of each document.
 END_ID = 1
-#: Cost of a window that ends inside a document, in padding tokens.
-CUT_PENALTY = 8
+#: Cost of a window that ends inside a document, in padding tokens, and of one inside a sentence.
+CUT_PENALTY, SENTENCE_PENALTY = 8, 32
+#: A sentence of more than this part of the capacity may be cut at any token.
+LONG_PART = 8
+#: Signs that end a sentence, where the vocabulary has them as one token.
+ENDS = ".!?\u3002\uff01\uff1f\u061f\u0964\u06d4"
 #: Tokens that are planned together.
 BLOCK = 1 << 19
-#: Words whose ids a task keeps before it starts anew, and texts that it tokenizes at a time.
-CACHED_WORDS, BATCH = 500_000, 3000
+#: Words whose ids a task keeps before it starts anew, and bytes of texts that it tokenizes at a time.
+CACHED_WORDS, BATCH = 250_000, 2 << 20
 
 # Words made of these letters and a tail of these signs are split between the two by the
 # vocabulary's own pattern, whatever surrounds them.
@@ -55,26 +59,27 @@ class Ids:
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._letters = {ord(chr(b)): c for b, c in _byte_letters().items()}
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
-        self._known: dict[str, list[int]] = {}
+    def forget(self) -> None:
+        self._known: dict[str, tuple[int, ...]] = {}
         self._slot: dict[str, int] = {}
         self._starts, self._sizes, self._table = array("q"), array("q"), array("I")
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> tuple[int, ...]:
         ids = self._known.get(word)
         if ids is None:
             if _PLAIN.fullmatch(word):
                 letters = word.encode().decode("latin-1").translate(self._letters)
-                ids = [t.id for t in self._tokenizer.model.tokenize(letters)]
+                ids = tuple(t.id for t in self._tokenizer.model.tokenize(letters))
             else:
-                ids = self._tokenizer.encode(word, add_special_tokens=False).ids
+                ids = tuple(self._tokenizer.encode(word, add_special_tokens=False).ids)
             self._known[word] = ids
         return ids
 
     def sentence_ends(self) -> np.ndarray:
-        return np.array([i for s in ".!?" for i in self.word(s)], np.int64)
+        found = [self.word(s) for s in ENDS]
+        return np.array([ids[0] for ids in found if len(ids) == 1], np.int64)
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by END_ID, and the number of ids per text."""
@@ -106,7 +111,7 @@ class Ids:
     def _slots(self, chunks: list[str]) -> np.ndarray:
         """Where the ids of each chunk of a text stand in the table, which grows by new ones."""
         if len(self._slot) >= CACHED_WORDS:
-            self._forget()
+            self.forget()
         slots = list(map(self._slot.get, chunks))
         for i, slot in enumerate(slots):
             if slot is None:
@@ -114,7 +119,7 @@ class Ids:
                 core = chunk.rstrip(_TAIL)
                 lower = core.lower()
                 if not _PLAIN.fullmatch(lower):
-                    ids = self.word(chunk) if chunk else []
+                    ids = self.word(chunk) if chunk else ()
                 elif len(core) == len(chunk):
                     ids = self.word(lower)
                 else:
@@ -134,40 +139,45 @@ def _take_runs(table: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
 
 
 def cut_points(ids: np.ndarray, doc_ends: np.ndarray, sentence_ends: np.ndarray,
-               capacity: int = CAPACITY, penalty: float = CUT_PENALTY) -> np.ndarray:
+               capacity: int = CAPACITY, penalty: float = CUT_PENALTY,
+               sentence_penalty: float = SENTENCE_PENALTY) -> np.ndarray:
     """Ends of the windows over ``ids``; ``doc_ends`` are positions after each document.
 
     With f(j) the least cost of cutting the first j tokens, f(j) = min over allowed i of
     f(i) + padding(j - i) + penalty(j). Padding up to the capacity is capacity - j + i, so the
     smallest f(i) + i of the last ``capacity`` tokens is wanted: a queue kept in rising order.
-    Windows of a power of two are looked up by their start.
+    Windows of a power of two cost f(i) alone; their starts are looked up for all places at once.
     """
     total = len(ids)
-    points = np.union1d(np.flatnonzero(np.isin(ids, sentence_ends)) + 1, doc_ends)
-    points = np.union1d(points, np.array([0, total]))
-    gaps = np.diff(points)
-    long = np.flatnonzero(gaps > capacity)  # sentences longer than a window
-    inner = [np.arange(points[i], points[i + 1], capacity) for i in long]
-    points = np.union1d(points, np.concatenate([points[:1], *inner]))
-    whole = np.isin(points, doc_ends).tolist()
+    marks = np.union1d(np.flatnonzero(np.isin(ids, sentence_ends)) + 1, doc_ends)
+    marks = np.union1d(marks, np.array([0, total]))
+    long = np.flatnonzero(np.diff(marks) > max(1, capacity // LONG_PART))
+    points = np.union1d(marks, np.concatenate([marks[:1], *(np.arange(marks[i], marks[i + 1]) for i in long)]))
+    price = np.where(np.isin(points, doc_ends), 0.0, np.where(np.isin(points, marks), penalty, sentence_penalty)).tolist()
+    powers = [1 << k for k in range(capacity.bit_length()) if 1 << k <= capacity]
+    ends, begins = [], []
+    for size in powers:
+        at = np.searchsorted(points, points - size)
+        hit = np.flatnonzero(points[at] == points - size)
+        ends.append(hit)
+        begins.append(at[hit])
+    ends, begins = np.concatenate(ends), np.concatenate(begins)
+    order = np.argsort(ends, kind="stable")
+    begins = begins[order].tolist()
+    first = np.searchsorted(ends[order], np.arange(len(points) + 1)).tolist()
     points = points.tolist()
-    index = {p: i for i, p in enumerate(points)}
-    powers = [1 << k for k in range(capacity.bit_length() - 1)]
     cost, back = [0.0] * len(points), [0] * len(points)
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])
-    tail_from = total - capacity  # powers of two pay where no full window fits any more
     for j in range(1, len(points)):
         at = points[j]
         while points[queue[0][1]] < at - capacity:
             queue.popleft()
         value, i = queue[0]
         best = value + capacity - at
-        if at > tail_from:
-            for size in powers:
-                k = index.get(at - size)
-                if k is not None and cost[k] < best:
-                    best, i = cost[k], k
-        cost[j] = best + (0 if whole[j] else penalty)
+        for k in begins[first[j] : first[j + 1]]:
+            if cost[k] < best:
+                best, i = cost[k], k
+        cost[j] = best + price[j]
         back[j] = i
         value = cost[j] + at
         while queue and queue[-1][0] >= value:
@@ -259,8 +269,7 @@ def _blocks(batches: Iterable[pa.RecordBatch], ids_of: Ids, packer: _Packer) ->
         return pa.RecordBatch.from_pydict(columns)
 
     for batch in batches:
-        for first in range(0, batch.num_rows, BATCH):
-            part = batch.slice(first, BATCH)
+        for part in _portions(batch):
             ids, per_text = ids_of.texts(part.column(1))
             at = 0
             for row, n in enumerate(per_text.tolist()):
@@ -280,3 +289,17 @@ def _blocks(batches: Iterable[pa.RecordBatch], ids_of: Ids, packer: _Packer) ->
                 at += n
     if size:
         yield flush()
+    ids_of.forget()
+    give_back()
+
+
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts have BATCH bytes, or one text more."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + BATCH, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop

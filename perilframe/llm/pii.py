@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import free_columns
+from perilframe.llm.common import free_columns, give_back
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban")
@@ -153,8 +153,10 @@ def _rows(text: pa.Array) -> pa.Array:
             "redacted": redact(value, spans) if spans else None,
         })
     kinds = [(f"n_{k}", pa.int64()) for k in BASE_KINDS]
-    return pa.array(rows, pa.struct([*kinds, ("base_sha256", pa.string()), ("spans", pa.string()),
+    made = pa.array(rows, pa.struct([*kinds, ("base_sha256", pa.string()), ("spans", pa.string()),
                                      ("scores", pa.list_(pa.float64())), ("redacted", pa.string())]))
+    give_back()
+    return made
 
 
 ADDED = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "scores", "redacted")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import fresh, runs, staged, text_bytes
+from perilframe.llm.common import fresh, give_back, runs, staged, text_bytes
 from perilframe.llm.components import connected_components
 
 SEED = 42
@@ -48,7 +48,9 @@ def fingerprint(text: bytes, shingle: int) -> int:
 def _fingerprints(shingle: int):
     @F.arrow_udf("long")
     def of_text(text: pa.Array) -> pa.Array:
-        return pa.array([fingerprint(t, shingle) for t in text_bytes(text)], pa.int64())
+        made = pa.array([fingerprint(t, shingle) for t in text_bytes(text)], pa.int64())
+        give_back()
+        return made
 
     return of_text
 
@@ -154,6 +156,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
+                 distance: int = 4, blocks: int = 7) -> DataFrame:
+    """One row of each component of ``docs``, with all its columns: that with the smallest id (null after
+    all), the first in the table where ids repeat. Different texts that share an id are rows of their own."""
+    row, fp = fresh(docs, "row", "fp")
+    marked = staged(with_fingerprint(docs.withColumn(row, F.monotonically_increasing_id()), text, shingle, fp))
+    place = F.struct(F.col(f"`{doc_id}`").isNull().alias("unnamed"), F.col(f"`{doc_id}`").alias("id"), F.col(row).alias("row"))
+    prints = staged(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(place).alias("least")))
+    roots = connected_components(near_links(prints.select("fp"), distance, blocks))
+    kept = (
+        prints.join(roots, prints["fp"] == roots["node"], "left")
+        .groupBy(F.coalesce("root", "fp").alias("component")).agg(F.min("least").alias("least"))
+        .select(F.col("least.row").alias(row))
+    )
+    return marked.join(kept, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def hex_print(column: str = "fingerprint") -> Column:
     """16 lowercase hexadecimal digits of a signed 64-bit number."""
     return F.lower(F.lpad(F.hex(column), 16, "0"))

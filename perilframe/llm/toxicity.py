@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import fresh, shingle_hashes, term_hashes, terms
+from perilframe.llm.common import fresh, give_back, shingle_hashes, term_hashes, terms
 
 #: Labelled examples of each class at most, terms at most, and their least association (chi-square).
 EXAMPLES, TERMS, ASSOCIATION, LEAST_DOCS = 2000, 256, 30.0, 8
@@ -241,8 +241,10 @@ def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "toxic
                 "score": model.score(best), "terms": [names[i] for i in at],
                 "neighbours": [str(model.index.ids[i]) for _, i in best[:3]],
             })
-        return pa.array(rows, pa.struct([("score", pa.float64()), ("terms", pa.list_(pa.string())),
+        made = pa.array(rows, pa.struct([("score", pa.float64()), ("terms", pa.list_(pa.string())),
                                          ("neighbours", pa.list_(pa.string()))]))
+        give_back()
+        return made
 
     return docs.withColumn(name, score(F.col(f"`{text}`")))
 

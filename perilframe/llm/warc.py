@@ -28,6 +28,8 @@ from perilframe.llm.common import shared_dir, staged, text_bytes
 LEAST_SHARED, ARCHIVE_BYTES = 100, 32 << 20
 #: Longest header block, and bytes read at a time.
 MOST_HEADER, READ = 1 << 16, 1 << 18
+#: Longest content of a gzip member; one that claims more is damage.
+MOST_MEMBER = 1 << 30
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _GZIP = b"\x1f\x8b\x08"
@@ -44,12 +46,13 @@ def filesystem(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def _name(key: object) -> str:
-    return f"<urn:page:{quote(str(key), safe='') if key is not None else ''}>"
+    """Name of a record; a null id has no part behind the colon, nor the colon."""
+    return f"<urn:page:{quote(str(key), safe='')}>" if key is not None else "<urn:page>"
 
 
 def _key(name: str | None) -> str | None:
     found = re.fullmatch(r"<urn:page:(.*)>", name or "")
-    return unquote(found[1]) or None if found else None
+    return unquote(found[1]) if found else None
 
 
 def record(key: object, url: str | None, payload: bytes, revisits: object = None,
@@ -122,14 +125,19 @@ class Record:
 
 def _member_at(archive: Archive, at: int) -> tuple[bytes, int]:
     """Content and end of the gzip member; its checksum is verified by zlib."""
-    unpacker, parts, place = zlib.decompressobj(31), [], at
+    unpacker, parts, place, size = zlib.decompressobj(31), [], at, 0
     try:
         while not unpacker.eof:
-            data = archive.read(place, READ)
-            if not data:
-                raise Damaged("member is cut off")
-            parts.append(unpacker.decompress(data))
-            place += len(data)
+            data = unpacker.unconsumed_tail
+            if not data and not (parts and len(parts[-1]) == READ):  # else more may come of what was read
+                data = archive.read(place, READ)
+                place += len(data)
+                if not data:
+                    raise Damaged("member is cut off")
+            parts.append(unpacker.decompress(data, READ))
+            size += len(parts[-1])
+            if size > MOST_MEMBER:
+                raise Damaged("member is too large")
     except zlib.error as error:
         raise Damaged(str(error)) from None
     return b"".join(parts), place - len(unpacker.unused_data)
@@ -177,15 +185,15 @@ def _records_at(archive: Archive, at: int) -> list[Record]:
         data, stop = _member_at(archive, at)
         records, place = [], 0
         while place < len(data) or not records:
-            head, place, block = _split(lambda a, n, d=data: d[a : a + n], place)
+            head, place, block = _split(lambda a, n, d=data: d[a : a + n], place, len(data))
             records.append(_record(at, stop, head, block))
         return records
-    head, stop, block = _split(archive.read, at)
+    head, stop, block = _split(archive.read, at, archive.size)
     return [_record(at, stop, head, block)]
 
 
-def _split(read, at: int) -> tuple[bytes, int, bytes]:
-    """Header, end and block of the record that ``read`` gives."""
+def _split(read, at: int, size: int) -> tuple[bytes, int, bytes]:
+    """Header, end and block of the record that ``read`` gives; there are ``size`` bytes to read."""
     start = read(at, MOST_HEADER)
     found = _VERSION.match(start)
     end = start.find(_END)
@@ -193,6 +201,8 @@ def _split(read, at: int) -> tuple[bytes, int, bytes]:
         raise Damaged("no version line or header")
     head = start[found.end() : end]
     n = _number(_fields(head), "content-length")
+    if n > size - at - end - 8:
+        raise Damaged("record is longer than the archive")
     body = read(at + end + 4, n + 4)
     if len(body) != n + 4 or not body.endswith(_END):
         raise Damaged("record does not end where it should")

@@ -80,6 +80,39 @@ def test_salvage_recovers_all_other_records(packed):
         assert all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("packed", [True, False])
+def test_salvage_of_files_with_damaged_lengths(spark, tmp_path, packed):
+    records = [warc.record(i, f"u{i}", bytes([65 + i]) * 300) for i in range(6)]
+    for k, n in ((1, b"999999999999999"), (2, b"1"), (3, b"9" * 30), (4, b"-5"), (5, b"")):
+        head, _, rest = records[k].partition(b"\r\n\r\n")
+        lines = [b"Content-Length: " + n if x.startswith(b"Content-Length") else x for x in head.split(b"\r\n")]
+        records[k] = b"\r\n".join(lines) + b"\r\n\r\n" + rest
+    data = b"".join(warc.member(r) if packed else r for r in [*records, warc.record(6, "u6", b"G" * 300)])
+    path = str(tmp_path / "damaged.warc")
+    (tmp_path / "damaged.warc").write_bytes(data)
+    rows = warc.read(spark.createDataFrame([(path,)], "path string")).collect()
+    assert {r["id"] for r in rows if r["kind"] == "response"} == {"0", "6"}
+    spans = sorted((r["start"], r["stop"]) for r in rows)
+    assert spans[0][0] == 0 and spans[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_members_that_inflate_without_end(monkeypatch):
+    big = warc.record(1, "u", b"z" * 2_000_000)
+    data = warc.member(warc.record(0, "u", b"a" * 200)) + warc.member(big) + warc.member(warc.record(2, "u", b"c"))
+    ids = lambda: [warc._key(r.fields["warc-record-id"]) if not isinstance(r, tuple) else r[2]
+                   for r in warc.salvage(warc.Archive(pa.BufferReader(data)))]
+    assert ids() == ["0", "1", "2"]
+    monkeypatch.setattr(warc, "MOST_MEMBER", 1_000_000)
+    assert ids() == ["0", "member is too large", "2"]
+
+
+def test_empty_ids_are_not_null(spark):
+    pages = spark.createDataFrame([("", "u", "x" * 150), ("b", "u", "x" * 150), (None, "u", "y")],
+                                  "page_id string, url string, html string")
+    found = {(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.round_trip(spark, pages).collect()}
+    assert found == {("", "response", None), ("b", "revisit", ""), (None, "response", None)}
+
+
 def test_pipeline_stages(spark, sf_dir):
     from perilframe.llm import decontam, pii, simhash
 
@@ -111,6 +144,14 @@ def test_near_duplicate_stage_of_odd_rows(spark, odd_docs, no_docs, sf_dir):
     assert corpus_pipeline.remove_near_duplicates(spark, no_docs, sf_dir).collect() == []
 
 
+def test_documents_that_share_an_id(spark, no_docs, sf_dir):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, words(1)), (1, words(2)), (1, words(1)), (2, words(2)), (3, None), (3, words(3)), (None, words(3))]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0, "x", 1) for i, t in rows], no_docs.schema)
+    kept = corpus_pipeline.remove_near_duplicates(spark, docs, sf_dir).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == [(1, words(1)), (1, words(2)), (3, ""), (3, words(3))]
+
+
 def test_other_stages_of_odd_rows(spark, odd_docs, no_docs, sf_dir):
     for name, stage in corpus_pipeline.STAGES:
         if name not in ("near_duplicates", "packing"):

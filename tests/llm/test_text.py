@@ -168,29 +168,54 @@ def test_pieces_of_odd_texts(spark, no_docs, monkeypatch):
     assert packing.pack(no_docs, vocabulary()).collect() == []
 
 
-def test_cuts_are_the_cheapest():
+def padding(length, capacity):
+    """A sequence is padded to the capacity, except at a power of two."""
+    return 0 if length & (length - 1) == 0 else capacity - length
+
+
+@pytest.mark.parametrize("part", [1, 8])
+def test_cuts_are_the_cheapest(monkeypatch, part):
+    monkeypatch.setattr(packing, "LONG_PART", part)
     draw = np.random.default_rng(2)
-    for _ in range(30):
-        n, capacity, penalty = int(draw.integers(1, 60)), 16, 3.0
-        ids = draw.integers(0, 4, n)
-        docs = np.union1d(draw.integers(1, n + 1, 4), [n])
-        ends = packing.cut_points(ids, docs, np.array([0]), capacity, penalty)
-        sentence = set((np.flatnonzero(ids == 0) + 1).tolist()) | set(docs.tolist())
-
-        def cost(cuts):
-            return sum(
-                (0 if (b - a) in (1, 2, 4, 8, 16) and b > n - capacity else capacity - b + a)
-                + (0 if b in docs else penalty) for a, b in zip([0, *cuts], cuts))
-
-        assert ends[-1] == n and np.diff(np.r_[0, ends]).max() <= capacity
-        points = sorted(sentence)
-        if all(b - a <= capacity for a, b in zip([0, *points], points)):
-            best = {0: 0.0}
-            for j in points:
-                best[j] = min(best[i] + cost([j]) if i == 0 else best[i] + (
-                    0 if (j - i) in (1, 2, 4, 8, 16) and j > n - capacity else capacity - j + i
-                ) + (0 if j in docs else penalty) for i in best if j - i <= capacity)
-            assert cost(ends.tolist()) == pytest.approx(best[n])
+    for _ in range(60):
+        n, capacity = int(draw.integers(1, 70)), 16
+        ids = draw.integers(0, int(draw.integers(2, 30)), n)
+        docs = set(draw.integers(1, n + 1, 4).tolist()) | {n}
+        marks = sorted({0, n} | docs | {i + 1 for i in range(n) if ids[i] == 0})
+        price = {p: 0 if p in docs else 3 for p in marks}
+        for a, b in zip(marks, marks[1:]):
+            if b - a > capacity // part:  # a long sentence may be cut at any token
+                price |= {p: 7 for p in range(a + 1, b)}
+        best = {0: 0.0}
+        for j in sorted(price)[1:]:
+            best[j] = min(best[i] + padding(j - i, capacity) for i in best if j - i <= capacity) + price[j]
+        ends = packing.cut_points(ids, np.array(sorted(docs)), np.array([0]), capacity, 3.0, 7.0).tolist()
+        assert ends[-1] == n and all(0 < b - a <= capacity and b in price for a, b in zip([0, *ends], ends))
+        assert sum(padding(b - a, capacity) + price[b] for a, b in zip([0, *ends], ends)) == pytest.approx(best[n])
+
+
+@pytest.mark.parametrize("lengths", [(1024, 700, 1348), (2100,), (3000,), (1500, 2100)])
+def test_documents_without_marks_are_packed_tightly(lengths):
+    doc_ends = np.cumsum(lengths * 40)
+    ends = packing.cut_points(np.ones(doc_ends[-1], np.int64), doc_ends, np.array([0]))
+    assert sum(padding(n, 2048) for n in np.diff(np.r_[0, ends]).tolist()) < 0.02 * doc_ends[-1]
+
+
+def test_whole_documents_fill_windows():
+    for lengths in ((1024, 700, 1348), (2048, 4, 2044)):
+        doc_ends = np.cumsum(lengths * 40)
+        ids = np.ones(doc_ends[-1], np.int64)
+        ids[doc_ends - 1] = 0
+        ends = packing.cut_points(ids, doc_ends, np.array([0]))
+        assert set(ends.tolist()) <= set(doc_ends.tolist())
+        assert sum(padding(n, 2048) for n in np.diff(np.r_[0, ends]).tolist()) == 0
+
+
+def test_packing_of_odd_rows(odd_docs):
+    rows = packing.pack(odd_docs.withColumn("start", F.lit("clash")), vocabulary()).collect()
+    whole = sorted(((r["doc_id"] is None, r["doc_id"] or 0), r["doc_tokens"]) for r in rows if r["start"] == 0)
+    assert len(whole) == odd_docs.count() and [r[1] for r in whole[:3]] == [1, 1, 1]
+    assert len({r[1] for r in whole if r[0] == (False, 4)}) == 1
 
 
 def test_all_items_within_the_radius_are_found():
