@@ -31,18 +31,8 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: that with the smallest id, once if its row repeats.
-    A component without any id keeps one of its rows."""
-    found = staged(simhash.near_duplicates(docs))
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    unnamed = found.where("component_id is null")
-    if unnamed.isEmpty():
-        return one
-    [fp] = fresh(docs, "fp")
-    lone = unnamed.groupBy("root").agg(F.min("fingerprint").alias(fp)).select(fp)
-    bare = simhash.with_fingerprint(docs.where("doc_id is null"), name=fp)
-    return one.unionByName(bare.join(lone, fp, "left_semi").dropDuplicates([fp]).select(*docs.columns))
+    """One document of each SimHash component: that with the smallest id, the first where ids repeat."""
+    return simhash.deduplicated(docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
