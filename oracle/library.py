@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from perilframe import schema
+from perilframe.functions import fixed, layout
 from perilframe.functions.fixed import CONSTRUCTION_NUMBERS, PERILS
 from perilframe.sources import testdata as td
 
@@ -361,20 +362,12 @@ STEPS["loc_sel"] = f"""
 SELECT t.policy_term_id, r.risk_id, r.location_id, r.risk_place_hash_txt,
   s.risk_property_structure_id, v.covered_property_structure_id, {_policy_part("f")},
   f.mod_period, {_RISK_PART}, {lob("f.business_unit_cd", "f.product_cd")} AS "UDF5" {_LOC_FROM}"""
-_DETAIL_LIMITS = tuple(
-    f"blanket_{p}limit_{k}" for p in ("agg_", "", "building_", "contents_", "bi_", "combined_")
-    for k in ("cd", "amt")
-) + schema.SITE_LIMITS
-_DETAIL_DED = tuple(
-    c for c in (*schema.BLANKET_DEDUCTIBLES, *schema.SITE_DEDUCTIBLES)
-    if c not in ("blanket_deductible_pcnt", "bi_deductible_pcnt")
-)
 STEPS["loc_det"] = f"""
 SELECT t.policy_term_id, r.risk_id, r.location_id, q.risk_peril_product_id, q.peril_id,
   q.product_id, s.risk_property_structure_id, v.covered_property_structure_id,
   lm.limit_property_structure_id, de.deduct_property_structure_id, {_policy_part("p")},
   q.source_product_cd, {_RISK_PART}, k.peril_cd, k.peril_desc, q.source_peril_cd,
-  {cols("lm", _DETAIL_LIMITS)}, {cols("de", _DETAIL_DED)} {_LOC_FROM}
+  {cols("lm", layout.DETAIL_LIMITS)}, {cols("de", layout.DETAIL_DEDUCTIBLES)} {_LOC_FROM}
 JOIN m_risk_peril_product q ON q.risk_id = r.risk_id
   AND (s.deleted_dt >= f.mod_period OR s.deleted_dt IS NULL)
 LEFT JOIN m_product p ON p.product_id = q.product_id
@@ -451,17 +444,6 @@ def _section(n: int) -> str:
     return f"{blank} AS {_name('LocPerils', n)}, {middle}, {blank} AS {_name('SublimitArea', n)}"
 
 
-_MODIFIERS = """CustomFloodSOP CustomFloodZone FloorOfInterest BuildingCondition BuildingShape
-Torsion SoftStory ShapeIrregularity SpecialConstruction Retrofit ShortColumn Ornamentation
-WaterHeater Redundancy TallOneStory Equipment SealofApproval RoofGeometry RoofPitch RoofCover
-RoofDeck RoofCoverAttachment RoofDeckAttachment RoofAnchorage RoofAttachedStructure RoofYearBuilt
-Tank RoofHailImpactResistance Chimney WallType WallSiding GlassType GlassPercent WindowProtection
-ExternalDoors BuildingExteriorOpening BrickVeneer FoundationConnection FoundationType
-InternalPartition TransitionInSRC AttachedStructures AppurtenantStructures Pounding TreeExposure
-SmallDebris LargeMissile TerrainRoughness AdjacentBuildingHeight BasementLevelCount
-BasementFinishType CustomElevation CustomElevationUnit BaseFloodElevation BaseFloodElevationUnit
-FirstFloorHeight FirstFloorHeightUnit ServiceEquipmentProtection FIRMCompliance
-ContentVulnerability""".split() + ["Certified Structures (IBHS)", "PPC Code", "Fire Sprinklers"]
 _TAG = SOURCE_TAG.lower()
 STEPS["location_rows"] = f"""
 SELECT l.policy_term_id, l.risk_id, l.location_cd, l.building_cd, l.product_cd,
@@ -493,7 +475,7 @@ SELECT l.policy_term_id, l.risk_id, l.location_cd, l.building_cd, l.product_cd,
   {_nulls(("OtherValue",), "DECIMAL(18,2)")}, l.contents_replacement_amt AS "ContentsValue",
   l.business_int_replacement_amt AS "TimeElementValue", {", ".join(_section(n) for n in _BLOCKS)},
   CASE WHEN l.business_int_replacement_amt IS NOT NULL THEN 365 END AS "DaysCovered",
-  {_nulls(_MODIFIERS)},
+  {_nulls(fixed.MODIFIER_COLUMNS)},
   concat('{SOURCE_TAG}-', l.source_system_desc) AS "UDF1", l.building_replacement_amt AS "UDF2",
   100 AS "UDF3", {_nulls(("UDF4", "UDF5", "Latitude", "Longitude", "UserGeocodeMatchLevel"))},
   l.risk_place_hash_txt
@@ -569,9 +551,9 @@ SELECT t.policy_term_id, r.location_id, r.risk_id, s.risk_property_structure_id,
   s.square_footage_no, {cols("v", _COVER_TEXT + _VALUES + _EXTRACT_FLAGS + _PREMIUMS)},
   q.risk_peril_product_id, q.peril_id, k.peril_cd, k.peril_desc, q.source_peril_cd, q.product_id,
   p.product_cd, p.product_desc, q.source_product_cd, lm.limit_property_structure_id,
-  {cols("lm", _DETAIL_LIMITS)}, de.deduct_property_structure_id,
+  {cols("lm", layout.DETAIL_LIMITS)}, de.deduct_property_structure_id,
   {", ".join(f"CAST(NULL AS DECIMAL(18,2)) AS {c}" if c in _EMPTY else f"de.{c}"
-             for c in _DETAIL_DED)}
+             for c in layout.DETAIL_DEDUCTIBLES)}
 {extract_from(f"AND s.deleted_dt >= {D}", f"AND q.deleted_dt >= {D}",
               "LEFT JOIN decode z ON trim(z.construction_desc) = trim(s.construction_cd)")}
 WHERE t.business_unit_cd = 'GARS' AND t.policy_term_effective_dt <= {D}

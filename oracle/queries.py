@@ -5,7 +5,7 @@ from __future__ import annotations
 from oracle import library as lib
 from oracle.library import D, with_steps
 from perilframe import schema
-from perilframe.registry import KEPT_TERMS
+from perilframe.registry import KEPT_TERMS, NAMED_TERMS, NUMERIC_COLUMNS
 
 _IN_FORCE = {
     "contract": f"policy_term_expiration_dt > {D} AND (cancellation_effective_dt > {D} "
@@ -38,6 +38,43 @@ def _view(table: str) -> str:
     ) + f" FROM m_{table}"
 
 
+def _check(name: str, table: str, key: str, snapshot: str, amounts: bool = False) -> str:
+    sums = ", ".join(
+        f"{f'CAST(sum({lib.value(c)}) AS DOUBLE)' if amounts else 'CAST(NULL AS DOUBLE)'} AS {n}"
+        for n, c in (("building_value", '"BuildingValue"'), ("deductible", '"DeductBldg"')))
+    return (f"SELECT '{name}' AS \"check\", '{snapshot}' AS snapshot, {key} AS key, "
+            f"CAST(count(*) AS BIGINT) AS row_count, {sums} FROM {table}_{snapshot}")
+
+
+def _report(reinsured: bool) -> str:
+    parts = []
+    for s in lib.td.SNAPSHOTS:
+        layer, exposure = (f"CASE WHEN strpos({c}, '-') = 8 AND length({c}) = 10 THEN '7Digit-mod' {extra}"
+                           f"WHEN length({c}) = 12 THEN 'Sym+Pol+Mod' ELSE 'Check these' END"
+                           for c, extra in (("LayerID", "WHEN strpos(LayerID, '-') = 13 AND length(LayerID) = 15 "
+                                                        "THEN 'SymPolMod-LayerNumber' "), ("ExposureID", "")))
+        parts += [
+            _check("contract rows", "con", "CAST(NULL AS VARCHAR)", s),
+            _check("contract LayerFormat", "con", layer, s) + " GROUP BY ALL",
+            _check("contract SublimitPerils", "con", "nullif(SublimitPerils, '')", s) + " GROUP BY ALL",
+            _check("location rows", "loc", "CAST(NULL AS VARCHAR)", s, True),
+            *(_check(f"location {c}", "loc", c, s, True) + " GROUP BY ALL"
+              for c in ("OccupancyCode", "ConstructionCode", "Area")),
+        ]
+        for name, a, b, more in (("contracts without locations", "con", "loc", "AND b.LocationID IS NOT NULL"),
+                                 ("locations without contract", "loc", "con", "")):
+            parts.append(
+                f"SELECT '{name}', '{s}', NULL, count(DISTINCT ContractID), NULL, NULL FROM {a}_{s} a "
+                f"WHERE ContractID IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {b}_{s} b "
+                f"WHERE b.ContractID = a.ContractID {more}) HAVING count(*) > 0")
+        if reinsured:
+            parts += [
+                _check("reinsurance rows", "rei", "CAST(NULL AS VARCHAR)", s),
+                _check("reinsurance ExposureFormat", "rei", exposure, s) + " GROUP BY ALL",
+            ]
+    return " UNION ALL ".join(parts)
+
+
 _QUERIES: dict[str, str] = {
     "in_force_variants": " UNION ALL ".join(
         f"SELECT '{n}' AS variant, count(*) AS kept FROM m_policy_term "
@@ -86,6 +123,21 @@ _QUERIES: dict[str, str] = {
     "peril_block_wind": "SELECT * FROM block5",
     "location_file": "SELECT * FROM location_rows",
     "location_file_lob": "SELECT * FROM location_rows WHERE \"LOB\" = 'GARS_Condo'",
+    "location_file_one_structure": "SELECT * FROM location_rows WHERE risk_id IN "
+        "(SELECT risk_id FROM loc_sel GROUP BY risk_id HAVING count(*) = 1)",
+    "location_detail_alive": "SELECT d.* FROM loc_det d JOIN m_risk_peril_product q "
+        f"ON q.risk_peril_product_id = d.risk_peril_product_id WHERE {_ALIVE['on date or open']}",
+    "policy_premium_direct": "SELECT l.policy_term_id, l.policy_id, "
+        "CAST(sum(x.amount) AS DECIMAL(38,2)) AS total_policy_premium FROM links l LEFT JOIN ("
+        "SELECT p.policy_id, p.change_written_premium AS amount FROM m_f_divisional_premiums p "
+        "JOIN m_d_transaction_items i ON i.transaction_items_id = p.written_transaction_id "
+        "AND i.rein_transaction_type_desc IN ('Direct', 'Direct Funded') "
+        "WHERE p.transaction_accounting_year >= 1995) x ON x.policy_id = l.policy_id GROUP BY ALL",
+    "contract_file_rewritten":
+        "SELECT * FROM contract_rows WHERE \"LOB\" <> 'GARS' OR excess_policy_ind = 1",
+    "pif_text_date": lib.STEPS["pif_l"].replace(D, "DATE '1997-12-31'"),
+    "terms_by_parameter": "SELECT business_unit_cd AS value, count(*) AS terms FROM m_policy_term "
+        f"WHERE policy_term_effective_dt <= {D} AND policy_term_expiration_dt > {D} GROUP BY ALL",
     "heritage_extract": lib.HERITAGE_EXTRACT,
     "fire_extract": lib.FIRE_EXTRACT,
     "policy_term_extract": lib.POLICY_TERM_EXTRACT,
@@ -108,6 +160,24 @@ _QUERIES: dict[str, str] = {
         "{label}", "CASE WHEN g = 1 THEN 'TOTAL' ELSE '(new)' END"),
     "ct_exposure_orphans": lib.ORPHAN_EXPOSURES,
     "ct_exposureid_format": lib.formats("rei_current", "ExposureID", False),
+    "ct_contract_orphans_collated":
+        'SELECT a.ContractID AS "ContractID", CAST(0 AS BIGINT) AS "LocationID_count" FROM con_current a '
+        "LEFT JOIN (SELECT rtrim(lower(ContractID) || '  ') AS k, LocationID FROM loc_prior) b "
+        "ON b.k = lower(rtrim(a.ContractID)) GROUP BY a.ContractID HAVING count(b.LocationID) = 0",
+    "ct_rejected_values": " UNION ALL ".join(
+        lib.per_snapshot(
+            f"SELECT '{c}' AS column_name, count(*) AS row_count, count_if({c} IS NULL)::BIGINT AS missing, "
+            f"count_if(trim({c}) = '')::BIGINT AS blank, "
+            f"count_if({c} IS NOT NULL AND trim({c}) <> '' AND TRY_CAST({c} AS DECIMAL(28,4)) IS NULL)::BIGINT "
+            f"AS rejected, CAST(sum({lib.value(c)}) AS DOUBLE) AS total, '{{s}}' AS snapshot FROM loc_{{s}}")
+        for c in NUMERIC_COLUMNS),
+    "ct_rows_by_parameter": lib.per_snapshot(
+        "SELECT '{s}' AS snapshot, count(*) AS row_count, "
+        "count_if(CountryISO IN ('CA', 'MX'))::BIGINT AS matching FROM loc_{s}"),
+    "ct_report": _report(False),
+    "ct_report_reinsured": _report(True),
+    "dq_named_policies": "SELECT g.*, l.spm FROM grp g LEFT JOIN lay l "
+                         f"ON l.policy_term_id = g.policy_term_id WHERE g.policy_term_id IN {NAMED_TERMS}",
     "dq_deductible_rows": "SELECT * FROM ded_rows",
     "dq_count_comparison": "SELECT * FROM comparison",
     "dq_count_mismatches": "SELECT * FROM comparison WHERE match_indicator = 0",

@@ -62,11 +62,34 @@ def number_or_zero(text: Column | str) -> Column:
     )
 
 
+def readable(text: Column | str) -> Column:
+    """Whether a text is blank or a number; NULL for NULL."""
+    given = col_of(text)
+    return F.when(given.isNotNull(), number_or_zero(given).isNotNull())
+
+
 def round_up(text: Column | str) -> Column:
     """Smallest whole number not below a numeric text; NULL when it is not a number."""
     return F.ceil(col_of(text).try_cast("decimal(18,4)")).cast("bigint")
 
 
+# --- keys of the other dialect --------------------------------------------------------
+
+# Compares without regard to case and trailing blanks.
+KEY_COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def as_key(text: Column | str) -> Column:
+    """A text that is compared, joined and grouped as the other dialect does: trailing blanks
+    and case do not count. What is shown stays as it was."""
+    return F.collate(col_of(text), KEY_COLLATION)
+
+
+def as_text(key: Column | str) -> Column:
+    """A key as a plain text again."""
+    return F.collate(col_of(key), "UTF8_BINARY")
+
+
 # --- report formats -----------------------------------------------------------------
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,11 +12,10 @@ from perilframe.functions.dialect import term_in_force
 from perilframe.functions.fixed import PRODUCT_SEPARATOR
 from perilframe.params import InForce
 from perilframe.sources.mart import Mart
+from perilframe.sources.staging import Stage
 
-# Ids per bucket when numbering the rows of a group. A (term, product) pair occurs once,
-# so a bucket of one group never holds more rows than this times the products sharing a
-# description.
-IDS_PER_BUCKET = 1_000_000
+# Rows per id range when rows of a group are numbered, about, and ranges at least and at most.
+ROWS_PER_RANGE, LEAST_RANGES, MOST_RANGES = 250_000, 8, 10_000
 
 
 def terms_in_force(mart: Mart, as_of: date, spec: InForce) -> DataFrame:
@@ -63,16 +63,27 @@ def fold_products(pif: DataFrame) -> DataFrame:
     )
 
 
-def number_in_group(pif: DataFrame, ids_per_bucket: int = IDS_PER_BUCKET) -> DataFrame:
+def id_borders(pif: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
+    """Borders that cut the ids into ranges of about so many rows: approximate quantiles, so
+    ranges follow the data however the ids are spread."""
+    ranges = min(MOST_RANGES, max(LEAST_RANGES, -(-pif.count() // rows_per_range)))
+    wanted = [i / ranges for i in range(1, ranges)]
+    return sorted(set(pif.approxQuantile("policy_term_id", wanted, 0.25 / ranges)))
+
+
+def number_in_group(pif: DataFrame, stage: Stage | None = None,
+                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Number the rows of each business unit x product, newest term first.
 
-    A plain window would sort a whole business unit in one task. Here the group is cut
-    into id ranges: rows are numbered inside a range and shifted by the count of the
-    newer ranges, which gives the same numbers.
+    A plain window would sort a whole business unit in one task. Here the ids are cut into
+    ranges taken from the data: rows are numbered inside the range of their group and
+    shifted by the count of the newer ranges, which gives the same numbers. The ranges, the
+    counts and the rows are three passes; a ``stage`` derives the policies once for them.
     """
     group = ["business_unit_cd", "product_desc"]
-    bucket = F.expr(f"policy_term_id div {ids_per_bucket}")
-    cut = pif.withColumn("id_bucket", bucket)
+    rows = stage.keep(pif, "numbered_policies") if stage else pif
+    splits = [-float("inf"), *id_borders(rows, rows_per_range), float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="policy_term_id", outputCol="id_bucket").transform(rows)
     newer = (
         Window.partitionBy(*group)
         .orderBy(F.desc("id_bucket"))
@@ -103,10 +114,11 @@ def number_in_group(pif: DataFrame, ids_per_bucket: int = IDS_PER_BUCKET) -> Dat
     )
 
 
-def sample_per_group(pif: DataFrame, n: int = 5, keep_ids: tuple[int, ...] = ()) -> DataFrame:
+def sample_per_group(pif: DataFrame, n: int = 5, keep_ids: tuple[int, ...] = (),
+                     stage: Stage | None = None) -> DataFrame:
     """The newest ``n`` rows of each business unit x product, and any listed term."""
     if keep_ids:
-        numbered = number_in_group(pif)
+        numbered = number_in_group(pif, stage)
         return numbered.filter(
             (F.col("bu_product_row_number") <= n) | F.col("policy_term_id").isin(*keep_ids)
         )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from typing import Any
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,11 @@ class Alive:
     open_counts: bool = True
 
 
+def read_date(text: str, form: str = "%Y-%m-%d") -> date:
+    """A date from text; the form is that of ``datetime.strptime``."""
+    return datetime.strptime(text, form).date()
+
+
 @dataclass(frozen=True)
 class RunParams:
     """One run of a file or an extract."""
@@ -42,3 +48,10 @@ class RunParams:
     drop_deleted_perils: bool = False
     contract_terms: InForce = field(default_factory=InForce)
     location_terms: InForce = field(default_factory=lambda: InForce(cancellation="ignore"))
+
+    @classmethod
+    def of_text(cls, as_of: str, now: str, source_tag: str, form: str = "%Y-%m-%d",
+                **switches: Any) -> RunParams:
+        """Parameters whose dates come as text in one form; the clock stands at midnight."""
+        clock = datetime.combine(read_date(now, form), datetime.min.time())
+        return cls(read_date(as_of, form), clock, source_tag, **switches)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perilframe.functions.dialect import join_text
+from perilframe.functions.layout import FILE_FLAGS
 from perilframe.functions.rules import (
     code_and_text,
     contract_currency,
@@ -21,14 +23,11 @@ from perilframe.operators import layers as lay
 from perilframe.operators.pif import fold_products, policy_products
 from perilframe.operators.premium import link_policy_id, policy_premium
 from perilframe.params import RunParams
+from perilframe.plans.predicate import asks_only_for
 from perilframe.schema import PERIL_FLAGS
 from perilframe.sources.mart import Mart
 from perilframe.sources.staging import Stage
 
-# Order of the policy peril columns in the contract file.
-FILE_FLAGS = tuple(
-    f"{p}_ind" for p in ("nbcr", "terrorism", "earthquake", "hurricane", "wind_hail", "fire", "flood")
-)
 
 
 @dataclass(frozen=True)
@@ -43,6 +42,7 @@ class Contract:
     mart: Mart
     params: RunParams
     stage: Stage | None = None
+    view: DataFrame | None = None  # the policy x layer view, where it is at hand
 
     @cached_property
     def pif(self) -> DataFrame:
@@ -54,13 +54,15 @@ class Contract:
 
     @cached_property
     def layers(self) -> DataFrame:
+        if self.view is not None:
+            return self.view
         view = lay.policy_layers(self.mart, self.folded)
         return self.stage.keep(view, "policy_layers") if self.stage else view
 
     @cached_property
     def terms_in_force(self) -> DataFrame:
         """One row per policy term in force."""
-        if self.stage:
+        if self.stage or self.view is not None:
             return self.layers.select("policy_term_id").distinct()
         return self.folded.select("policy_term_id")
 
@@ -99,8 +101,42 @@ class Contract:
 
     def file(self, predicate: Column | None = None) -> DataFrame:
         """The contract file, optionally restricted on its own columns."""
-        rows = contract_rows(self.layers, self.premium, self.deductible, self.params)
-        return rows if predicate is None else rows.filter(predicate)
+        if predicate is None:
+            return contract_rows(self.layers, self.premium, self.deductible, self.params)
+        kept = self.only(predicate)
+        rows = contract_rows(kept.layers, kept.premium, kept.deductible, kept.params)
+        return rows.filter(predicate)
+
+    def only(self, predicate: Column) -> Contract:
+        """The steps for the terms of which some row can pass the predicate.
+
+        Their ids are found once on the policy x layer view, and premium, risks, deductibles
+        and layers are semi-joined to them before they are aggregated. All layers of a kept
+        term stay, as the counts need them. A predicate that asks for premium or deductible
+        columns names no terms beforehand; then nothing is left out.
+        """
+        spark = self.mart.spark
+        rows = contract_rows(
+            self.layers, _no_rows(spark, PREMIUM_SIDE), _no_rows(spark, DEDUCTIBLE_SIDE), self.params
+        )
+        if not asks_only_for(predicate, rows, FROM_SIDES):
+            return self
+        keys = rows.filter(predicate).select("policy_term_id").distinct()
+        if self.stage:
+            keys = self.stage.keep(keys, f"kept_terms_{uuid4().hex}")
+        layers = self.layers.join(keys, "policy_term_id", "left_semi")
+        return replace(self, mart=self.mart.within(keys), view=layers)
+
+
+# Columns the file takes from the sides, and what these sides hold.
+FROM_SIDES = ("Premium", "DedType", "DedAmt1", *ded.SUBLIMIT_FLAGS, "SublimitArea", "SublimitAttachAmt")
+PREMIUM_SIDE = ("policy_term_id", "total_policy_premium")
+DEDUCTIBLE_SIDE = ("policy_term_id", "isallperildeductible", "dedamt1", *ded.SUBLIMIT_FLAGS,
+                   "sublimitarea", "sublimitdedamt1")
+
+
+def _no_rows(spark: SparkSession, columns: tuple[str, ...]) -> DataFrame:
+    return spark.range(1).select(*(F.lit(None).cast("bigint").alias(c) for c in columns)).filter("false")
 
 
 def contract_rows(

@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.functions.dialect import (
+    as_key,
+    as_text,
     blank_length,
     money_text,
     number_or_zero,
+    readable,
     share_text,
     whole_text,
 )
@@ -35,6 +38,19 @@ def trimmed_keys(file: DataFrame) -> DataFrame:
     )
 
 
+def collated_keys(file: DataFrame) -> DataFrame:
+    """Files whose keys compare without regard to case and trailing blanks: the keys become
+    collated columns, so every join, group and comparison of the checks follows."""
+    return file.select(*(as_key(c).alias(c) if c in KEY_COLUMNS else F.col(c) for c in file.columns))
+
+
+def plain_keys(result: DataFrame) -> DataFrame:
+    """A check's result with plain texts again."""
+    return result.select(
+        *(as_text(c).alias(c) if kind.startswith("string collate") else F.col(c) for c, kind in result.dtypes)
+    )
+
+
 def _stacked(snapshots: Snapshots, make) -> DataFrame:
     parts = [make(frame).withColumn("snapshot", F.lit(name)) for name, frame in snapshots.items()]
     return reduce(DataFrame.unionByName, parts)
@@ -57,6 +73,33 @@ def snapshot_sum(snapshots: Snapshots, column: str, label: str, total: str) -> D
     )
 
 
+def rejected_values(snapshots: Snapshots, columns: tuple[str, ...]) -> DataFrame:
+    """Per snapshot and numeric text column: rows, missing, blank and unreadable values, and
+    the sum of the others. One pass over each snapshot, whatever the number of columns."""
+
+    def counted(file: DataFrame) -> DataFrame:
+        cells = []
+        for c in columns:
+            text = F.col(c)
+            cells += [
+                F.count_if(text.isNull()).alias(f"{c}_missing"),
+                F.count_if(F.trim(text) == "").alias(f"{c}_blank"),
+                F.count_if(~readable(text)).alias(f"{c}_rejected"),
+                F.sum(number_or_zero(text)).cast("double").alias(f"{c}_total"),
+            ]
+        found = file.agg(F.count(F.lit(1)).alias("rows"), *cells)
+        rows = (
+            F.struct(
+                F.lit(c).alias("column_name"), F.col("rows").alias("row_count"),
+                *(F.col(f"{c}_{k}").alias(k) for k in ("missing", "blank", "rejected", "total")),
+            )
+            for c in columns
+        )
+        return found.select(F.inline(F.array(*rows)))
+
+    return _stacked(snapshots, counted)
+
+
 def value_counts(snapshots: Snapshots, column: str) -> DataFrame:
     """Count of each non-blank value per snapshot."""
 
@@ -347,6 +390,95 @@ def orphan_exposures(reinsurance: DataFrame, contract: DataFrame) -> DataFrame:
     )
 
 
+# --- the report as rows ----------------------------------------------------------------
+
+# Check by file and key column; the first of each file counts its rows.
+REPORT_KEYS = {
+    "contract": ("LayerFormat", "SublimitPerils"),
+    "location": ("OccupancyCode", "ConstructionCode", "Area"),
+    "reinsurance": ("ExposureFormat",),
+}
+
+
+def report_rows(contract: Snapshots, location: Snapshots, reinsurance: Snapshots | None = None
+                ) -> DataFrame:
+    """Counts and sums of all snapshots as rows (check, snapshot, key, row_count,
+    building_value, deductible); the checks of a reinsurance file if there is one.
+
+    All files are stacked as a few narrow columns, each snapshot is read once, and one grouped
+    pass with a grouping set per check counts them; contracts are reduced to one row per
+    snapshot and id in the same pass before those without a counterpart are counted.
+    """
+    files = {"contract": contract, "location": location, "reinsurance": reinsurance or {}}
+    parts = [
+        _report_columns(kind, name, trimmed_keys(file))
+        for kind, snapshots in files.items() for name, file in snapshots.items()
+    ]
+    keys = [k for kind in files for k in REPORT_KEYS[kind]]
+    sets = [["kind", "snapshot"], ["snapshot", "ContractID"], *(["kind", "snapshot", k] for k in keys)]
+    grouped = (
+        reduce(DataFrame.unionByName, parts)
+        .groupingSets([[F.col(c) for c in s] for s in sets], "kind", "snapshot", "ContractID", *keys)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("kind_") == "contract").alias("contracts"),
+            F.count_if(F.col("located")).alias("places"),
+            F.count_if(F.col("kind_") == "location").alias("locations"),
+            F.sum("building").alias("building"), F.sum("deduct").alias("deduct"),
+            *(F.grouping(c).alias(f"no_{c}") for c in ("kind", *keys)),
+        )
+    )
+    check = F.when(F.col("no_kind") == 1, F.when((F.col("contracts") > 0) & (F.col("places") == 0),
+                                                 "contracts without locations")
+                   .when((F.col("locations") > 0) & (F.col("contracts") == 0), "locations without contract"))
+    shown = F.lit(None).cast("string")
+    for kind, own in REPORT_KEYS.items():
+        for k in own:
+            here = F.col(f"no_{k}") == 0
+            check = check.when(here, F.when(F.col("kind") == kind, f"{kind} {k}"))
+            shown = F.when(here, F.col(k)).otherwise(shown)
+    check = check.otherwise(F.concat("kind", F.lit(" rows")))
+    by_contract = F.col("no_kind") == 1
+    return (
+        grouped.withColumn("check", check)
+        .filter(F.col("check").isNotNull() & (~by_contract | F.col("ContractID").isNotNull()))
+        .select(
+            "check", "snapshot", shown.alias("key"),
+            F.when(by_contract, 1).otherwise(F.col("rows")).alias("rows"),
+            F.when(~by_contract, F.col("building")).alias("building"),
+            F.when(~by_contract, F.col("deduct")).alias("deduct"),
+        )
+        .groupBy("check", "snapshot", "key")
+        .agg(
+            F.sum("rows").alias("row_count"), F.sum("building").cast("double").alias("building_value"),
+            F.sum("deduct").cast("double").alias("deductible"),
+        )
+    )
+
+
+def _report_columns(kind: str, snapshot: str, file: DataFrame) -> DataFrame:
+    """The narrow columns of one file; those of other files are NULL."""
+    none, amount = F.lit(None).cast("string"), F.lit(None).cast("decimal(28,4)")
+    found: dict[str, Column] = {
+        "contract": {
+            "LayerFormat": id_format("LayerID", layered=True),
+            "SublimitPerils": F.nullif(F.col("SublimitPerils"), F.lit("")),
+        },
+        "location": {
+            "building": number_or_zero("BuildingValue"), "deduct": number_or_zero("DeductBldg"),
+            "located": F.col("LocationID").isNotNull(),
+            **{k: F.col(k) for k in REPORT_KEYS["location"]},
+        },
+        "reinsurance": {"ExposureFormat": id_format("ExposureID", layered=False)},
+    }[kind]
+    names = {k: none for own in REPORT_KEYS.values() for k in own}
+    names |= {"building": amount, "deduct": amount, "located": F.lit(False)} | found
+    return file.select(
+        F.lit(kind).alias("kind"), F.lit(kind).alias("kind_"), F.lit(snapshot).alias("snapshot"),
+        "ContractID", *(column.alias(name) for name, column in names.items()),
+    )
+
+
 # --- the whole report ----------------------------------------------------------------------
 
 

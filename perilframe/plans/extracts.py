@@ -8,6 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.functions.dialect import alive, term_in_force
+from perilframe.functions.layout import (
+    DETAIL_DEDUCTIBLES,
+    DETAIL_LIMITS,
+    EXTRACT_FLAGS,
+    FIRE_DEDUCTIBLES,
+    FIRE_LIMITS,
+    UPDATE_YEARS,
+)
 from perilframe.functions.rules import (
     built_year,
     policy_layer_key,
@@ -25,22 +33,10 @@ from perilframe.operators.spine import (
     on_same,
 )
 from perilframe.params import Alive, InForce
-from perilframe.plans.location import (
-    COVERED_TEXT,
-    DETAIL_DEDUCTIBLES,
-    DETAIL_LIMITS,
-    OCCUPANCY,
-    PREMIUMS,
-    UPDATE_YEARS,
-    VALUES,
-)
+from perilframe.plans.location import COVERED_TEXT, OCCUPANCY, PREMIUMS, VALUES
 from perilframe.schema import ADDRESS
 from perilframe.sources.mart import Mart, construction_numbers
 
-# Order of the coverage peril columns in the extracts.
-EXTRACT_FLAGS = tuple(
-    f"{p}_ind" for p in ("earthquake", "hurricane", "wind_hail", "fire", "terrorism", "flood", "nbcr")
-)
 POLICY_ORDER = ("t.policy_number_cd", "t.policy_module_cd", "structure.location_cd",
                 "structure.building_cd")
 # Ids that end every order, so that no key's rows are one range.
@@ -146,16 +142,6 @@ def _open_business(as_of: date, units: str) -> Column:
     return F.col("business_unit_cd").like(units) & term_in_force(as_of, InForce())
 
 
-FIRE_LIMITS = tuple(
-    f"{p}_limit_amt" for p in ("blanket_building", "blanket_contents", "blanket_bi",
-                               "blanket_combined", "building", "contents", "bi")
-)
-FIRE_DEDUCTIBLES = ("blanket_deductible_amt", "blanket_bldg_deductible_amt",
-                    "blanket_cnts_deductible_amt", "blanket_bi_deductible_amt",
-                    "blanket_bi_deductible_pcnt", "blanket_bi_deductible_dur_no",
-                    "blanket_bi_duration_unit_desc", "blanket_comb_deductible_amt",
-                    "site_deductible_amt", "combined_deductible_amt",
-                    "contents_deductible_pcnt")
 
 
 def fire_extract(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from uuid import uuid4
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.functions.dialect import alive, join_text, round_up
@@ -13,6 +15,7 @@ from perilframe.functions.fixed import (
     GEOCODE_COLUMNS,
     MODIFIER_COLUMNS,
 )
+from perilframe.functions.layout import DETAIL_DEDUCTIBLES, DETAIL_LIMITS, UPDATE_YEARS
 from perilframe.functions.rules import (
     built_year,
     line_of_business,
@@ -42,32 +45,17 @@ from perilframe.operators.spine import (
     on_same,
 )
 from perilframe.params import Alive, RunParams
+from perilframe.plans.predicate import asks_only_for
 from perilframe.schema import ADDRESS, PERIL_FLAGS
 from perilframe.sources.mart import Mart
+from perilframe.sources.staging import Stage
 
 COVERED_TEXT = ("building_percent_complete_no", "contents_rate_grade_cd")
-UPDATE_YEARS = tuple(
-    f"{part}_update_yr" for part in ("electrical", "heating", "other", "plumbing", "roof")
-)
 OCCUPANCY = ("occupancy_cd", "occupancy_desc", "occupancy_scheme_desc")
 VALUES = ("building_replacement_amt", "contents_replacement_amt", "business_int_replacement_amt",
           "building_cvrg_a_amt", "building_cvrg_b_amt", "contents_cvrg_c_amt",
           "business_int_cvrg_d_amt")
 PREMIUMS = ("written_premium_amt", "annualized_premium_amt")
-DETAIL_LIMITS = tuple(
-    f"blanket_{part}limit_{kind}" for part in ("agg_", "", "building_", "contents_", "bi_")
-    for kind in ("cd", "amt")
-) + ("blanket_combined_limit_amt", "blanket_combined_limit_cd", "site_limit_amt",
-     "combined_limit_amt", "building_limit_amt", "contents_limit_amt", "bi_limit_amt")
-DETAIL_DEDUCTIBLES = tuple(
-    f"blanket_{part}deductible_{kind}" for part in ("agg_", "", "bldg_", "cnts_", "bi_")
-    for kind in ("cd", "amt")
-) + ("blanket_bi_deductible_pcnt", "blanket_bi_deductible_dur_no",
-     "blanket_bi_duration_unit_desc", "blanket_comb_deductible_amt",
-     "blanket_comb_deductible_cd", "site_deductible_amt", "combined_deductible_amt",
-     "building_deductible_amt", "building_deductible_pcnt", "contents_deductible_amt",
-     "contents_deductible_pcnt", "bi_deductible_amt", "bi_deductible_duration_no",
-     "bi_duration_unit_desc")
 
 
 def location_pif(mart: Mart, params: RunParams) -> DataFrame:
@@ -188,35 +176,52 @@ def location_detail(mart: Mart, folded: DataFrame, params: RunParams) -> DataFra
     )
 
 
+def flag_counts(selection: DataFrame) -> DataFrame:
+    """One row per risk: its rows in the selection, and how many of them have each block's
+    peril flag off and on. Counts are bounded whatever the number of structures, and have a
+    map-side pass over a few narrow columns."""
+    return selection.groupBy("risk_id").agg(
+        F.count(F.lit(1)).alias("copies"),
+        *(
+            F.count_if(F.col(_flag(number)) == value).alias(f"flag_{number}_{value}")
+            for number in BLOCKS for value in (0, 1)
+        ),
+    )
+
+
+def _flag(number: int) -> str:
+    return f"structure_{BLOCKS[number][0].lower()}_ind"
+
+
+def _opened(number: int) -> Column:
+    """The flags of a block that the counts stand for: off, on, and neither."""
+    off, on = (F.col(f"flag_{number}_{value}").cast("int") for value in (0, 1))
+    neither = F.col("copies").cast("int") - off - on
+    parts = ((F.lit(0), off), (F.lit(1), on), (F.lit(None).cast("int"), neither))
+    return F.explode(F.concat(*(F.array_repeat(value, times) for value, times in parts)))
+
+
 def _with_blocks(selection: DataFrame, pivot: DataFrame, one_structure: bool) -> DataFrame:
     """Add the five peril blocks to the selection.
 
     The file joins every block by risk alone, so a risk with k structures gets k rows per
     block and k^6 rows in all, in every combination of the structures' peril flags. Here
-    the pivot joins once; the flags of a risk's k structures travel as an array, opened
-    once per block. (k is the number of structures of one building; its sixth power is the
-    size of the result, so the array is small whenever the result can exist.) The selection
-    is already partitioned and sorted by risk id at this point, which makes the window free.
+    one row per risk carries the pivot and the counts of its flags, whatever k is; the
+    counts are opened into rows once per block, in the last step before the file's columns.
 
     With ``one_structure`` the caller vouches for k = 1 and the blocks read their own row;
     a risk found twice then stops the run.
     """
     joined = selection.join(pivot, "risk_id", "left")
-    same_risk = Window.partitionBy("risk_id")
+    frame = joined.join(flag_counts(selection), "risk_id")
     if one_structure:
-        repeated = F.count(F.lit(1)).over(same_risk) > 1
         stop = F.raise_error(F.concat(F.lit("several structures for risk "), "risk_id"))
-        checked = F.when(repeated, stop.cast("bigint")).otherwise(F.col("risk_id"))
-        return joined.withColumn("risk_id", checked).select(
-            "*", *(c for n in BLOCKS for c in peril_block(n))
-        )
-    flags = F.struct(*RISK_FLAGS)
-    frame = joined.withColumn("risk_flags", F.collect_list(flags).over(same_risk))
-    for number, (peril, _) in BLOCKS.items():
-        frame = frame.withColumn(
-            f"flag_{number}",
-            F.explode(F.col(f"risk_flags.structure_{peril.lower()}_ind")),
+        checked = F.when(F.col("copies") > 1, stop.cast("bigint")).otherwise(F.col("risk_id"))
+        return frame.withColumn("risk_id", checked).select(
+            *joined.columns, *(c for n in BLOCKS for c in peril_block(n))
         )
+    for number in BLOCKS:
+        frame = frame.withColumn(f"flag_{number}", _opened(number))
     return frame.select(
         *joined.columns,
         *(c for n in BLOCKS for c in peril_block(n, F.col(f"flag_{n}"))),
@@ -298,18 +303,42 @@ def location_rows(selection: DataFrame, pivot: DataFrame, params: RunParams,
     )
 
 
-def location_pivot(mart: Mart, params: RunParams) -> DataFrame:
-    """Pivot by risk for the risks of terms in force."""
-    risks = terms_in_force(mart, params.as_of, params.location_terms).select(
-        "policy_term_id"
-    ).join(mart["risk"].select("risk_id", "policy_term_id"), "policy_term_id")
+def location_pivot(mart: Mart, params: RunParams, risks: DataFrame | None = None) -> DataFrame:
+    """Pivot by risk for the given risks, or those of terms in force."""
+    if risks is None:
+        risks = terms_in_force(mart, params.as_of, params.location_terms).select(
+            "policy_term_id"
+        ).join(mart["risk"].select("risk_id", "policy_term_id"), "policy_term_id")
     perils = risk_limit_deductible(mart, risks.select("risk_id"))
     return pivot_terms(perils, ("risk_id",))
 
 
+def kept_terms(folded: DataFrame, predicate: Column) -> DataFrame | None:
+    """Ids of the terms that pass a predicate on their own columns and line of business, or
+    None where it asks for more."""
+    lob = line_of_business(F.col("business_unit_cd"), F.col("product_cd"))
+    terms = folded.withColumn("UDF5", lob)
+    if not asks_only_for(predicate, terms):
+        return None
+    return terms.filter(predicate).select("policy_term_id")
+
+
 def location_file(mart: Mart, params: RunParams, predicate: Column | None = None,
-                  one_structure: bool = False) -> DataFrame:
-    """The whole location file, optionally for the lines of business of ``predicate``."""
-    selection = location_selection(mart, fold_products(location_pif(mart, params)), params)
+                  one_structure: bool = False, stage: Stage | None = None) -> DataFrame:
+    """The whole location file, optionally for the lines of business of ``predicate``.
+
+    The terms that pass are found once (and written, given a ``stage``); risks, and so
+    structures, perils, limits and the pivot, are semi-joined to them. A predicate on other
+    columns restricts the pivot to the risks that are left.
+    """
+    folded = fold_products(location_pif(mart, params))
+    keys = None if predicate is None else kept_terms(folded, predicate)
+    if keys is not None:
+        if stage:
+            keys = stage.keep(keys, f"kept_terms_{uuid4().hex}")
+        mart = mart.within(keys)
+        folded = folded.join(keys, "policy_term_id", "left_semi")
+    selection = location_selection(mart, folded, params)
     kept = location_lob(selection, F.lit(True) if predicate is None else predicate)
-    return location_rows(kept, location_pivot(mart, params), params, one_structure)
+    risks = None if predicate is None or keys is not None else kept.select("risk_id").distinct()
+    return location_rows(kept, location_pivot(mart, params, risks), params, one_structure)

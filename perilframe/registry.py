@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
 
@@ -16,13 +17,15 @@ from perilframe.operators import layers as lay
 from perilframe.operators import limits as lim
 from perilframe.operators import perils as per
 from perilframe.operators.pif import fold_products, number_in_group, sample_per_group
-from perilframe.operators.premium import link_policy_id
+from perilframe.operators.premium import link_policy_id, policy_premium
 from perilframe.params import Alive, InForce, RunParams
 from perilframe.plans import control_totals as ct
 from perilframe.plans import extracts as ext
 from perilframe.plans import location as loc
+from perilframe.plans import named
 from perilframe.plans import quality as dq
 from perilframe.plans.contract import Contract
+from perilframe.sources import publish
 from perilframe.sources.mart import Mart, view
 from perilframe.sources.staging import Stage
 from perilframe.sources.testdata import mart_of_testdata, snapshots_of_testdata
@@ -32,6 +35,10 @@ AS_OF = date(1998, 12, 31)
 PARAMS = RunParams(as_of=AS_OF, now=datetime(2000, 1, 1), source_tag="SRC")
 # Terms always kept in the sample; term 66 is in force and past the fifth of its group.
 KEPT_TERMS = (61, 66)
+# Terms whose blankets are looked into by name.
+NAMED_TERMS = (26, 31, 66)
+# Columns of the location file that ought to be numeric, and one that is not.
+NUMERIC_COLUMNS = ("BuildingValue", "OtherValue", "DeductBldg", "OccupancyCode", "ContractID")
 # The open business that two extracts report, and the profit centre that one leaves out.
 UNITS, LEFT_OUT = "A%", "2758"
 
@@ -129,6 +136,51 @@ def _location_rows(mart: Mart) -> DataFrame:
     return loc.location_file(mart, PARAMS)
 
 
+def _single_structures(mart: Mart, folded: DataFrame) -> DataFrame:
+    """The location file of risks with one structure, whose blocks read their own row."""
+    selection = loc.location_selection(mart, folded, PARAMS)
+    single = loc.flag_counts(selection).filter("copies = 1")
+    alone = selection.join(single, "risk_id", "left_semi")
+    return loc.location_rows(alone, loc.location_pivot(mart, PARAMS, alone), PARAMS, one_structure=True)
+
+
+def _twice_written(contract: Contract) -> DataFrame:
+    """The contract file as written, then one line of business written anew without its primary
+    layers; the other lines stay."""
+    path = Stage.of(contract.mart.spark).folder("contract_file")
+    file = contract.file()
+    publish.write_file(file, path, publish.CONTRACT_PARTITIONS, order=publish.CONTRACT_ORDER)
+    again = publish.read_file(contract.mart.spark, path, file).filter("LOB = 'GARS' AND excess_policy_ind = 1")
+    kept = contract.stage.keep(again, "rewritten_line")  # it may not be read where it is replaced
+    publish.write_file(kept, path, publish.CONTRACT_PARTITIONS, "replace", publish.CONTRACT_ORDER)
+    return publish.read_file(contract.mart.spark, path, file)
+
+
+def _shouted(files: dict[str, DataFrame]) -> DataFrame:
+    """The prior location file with keys in small letters and trailing blanks."""
+    return files["prior"].withColumn("ContractID", F.concat(F.lower("ContractID"), F.lit("  ")))
+
+
+def _named_terms(mart: Mart) -> DataFrame:
+    publish.publish_view(mart["policy_term"], "named_policy_term")
+    return named.terms_by(mart.spark, "named_policy_term", "business_unit_cd", "31/12/1998", "dd/MM/yyyy")
+
+
+def _named_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = publish.publish_snapshots(snapshots_of_testdata(spark, sf_dir, "location"), "location")
+    return named.matching_rows(spark, names, "CountryISO", ["CA", "MX"])
+
+
+def _report(spark: SparkSession, sf_dir: str, kinds: str) -> DataFrame:
+    return ct.report_rows(*(snapshots_of_testdata(spark, sf_dir, k) for k in kinds.split()))
+
+
+def _text_dates(mart: Mart) -> DataFrame:
+    """Policies in force a year earlier, by a date given as text."""
+    params = RunParams.of_text("31.12.1997", "01.01.2000", "SRC", "%d.%m.%Y")
+    return loc.location_pif(mart, params)
+
+
 def _initial_final(mart: Mart, by_policy: bool) -> DataFrame:
     pif = loc.location_pif(mart, PARAMS)
     detail = loc.location_detail(mart, fold_products(pif), PARAMS)
@@ -171,9 +223,11 @@ QUERIES: dict[str, Query] = {
     "selection_filters": _on_mart(_selection),
     "pif_contract": _contract(lambda c: c.pif),
     "pif_location": _on_mart(_small_pif),
-    "pif_numbered": _on_mart(lambda m: number_in_group(_small_pif(m))),
+    "pif_numbered": _on_mart(lambda m: number_in_group(_small_pif(m), Stage.of(m.spark))),
     "pif_sample_top5": _on_mart(lambda m: sample_per_group(_small_pif(m))),
-    "pif_sample_kept": _on_mart(lambda m: sample_per_group(_small_pif(m), keep_ids=KEPT_TERMS)),
+    "pif_sample_kept": _on_mart(
+        lambda m: sample_per_group(_small_pif(m), keep_ids=KEPT_TERMS, stage=Stage.of(m.spark))
+    ),
     "product_listagg": _contract(lambda c: c.folded),
     # contract pipeline
     "policy_id_link": _contract(lambda c: link_policy_id(c.mart, c.folded)),
@@ -225,8 +279,22 @@ QUERIES: dict[str, Query] = {
     "peril_block_wind": _block(5),
     "location_file": _on_mart(_location_rows),
     "location_file_lob": _on_mart(
-        lambda m: loc.location_file(m, PARAMS, F.col("UDF5") == "GARS_Condo")
+        lambda m: loc.location_file(
+            m, PARAMS, F.col("UDF5") == "GARS_Condo", stage=Stage.of(m.spark)
+        )
+    ),
+    "location_file_one_structure": _location(_single_structures),
+    "location_detail_alive": _location(
+        lambda m, f: loc.location_detail(m, f, replace(PARAMS, drop_deleted_perils=True))
     ),
+    "policy_premium_direct": _contract(
+        lambda c: policy_premium(
+            c.mart, link_policy_id(c.mart, c.terms_in_force), replace(PARAMS, direct_premium_only=True)
+        )
+    ),
+    "contract_file_rewritten": _contract(_twice_written, staged=True),
+    "pif_text_date": _on_mart(_text_dates),
+    "terms_by_parameter": _on_mart(_named_terms),
     # extracts
     "heritage_extract": _on_mart(lambda m: ext.heritage_extract(m, "GARS", "GARS_Condo", AS_OF)),
     "fire_extract": _on_mart(lambda m: ext.fire_extract(m, AS_OF, UNITS, LEFT_OUT)),
@@ -272,6 +340,17 @@ QUERIES: dict[str, Query] = {
     "ct_exposureid_format": _files(
         "reinsurance", lambda r: ct.format_profile(r["current"], "ExposureID", layered=False)
     ),
+    "ct_contract_orphans_collated": lambda spark, sf_dir: ct.plain_keys(
+        ct.orphans(
+            ct.collated_keys(snapshots_of_testdata(spark, sf_dir, "contract")["current"]),
+            ct.collated_keys(_shouted(snapshots_of_testdata(spark, sf_dir, "location"))),
+            "LocationID",
+        )
+    ),
+    "ct_rejected_values": _files("location", lambda c: ct.rejected_values(c, NUMERIC_COLUMNS)),
+    "ct_rows_by_parameter": _named_snapshots,
+    "ct_report": lambda spark, sf_dir: _report(spark, sf_dir, "contract location"),
+    "ct_report_reinsured": lambda spark, sf_dir: _report(spark, sf_dir, "contract location reinsurance"),
     # reconciliations
     "dq_deductible_rows": _contract(dq.deductible_rows, staged=True),
     "dq_count_comparison": _contract(
@@ -289,6 +368,9 @@ QUERIES: dict[str, Query] = {
         staged=True,
     ),
     "dq_small_blankets": _contract(lambda c: dq.small_blankets(c.layers, c.groups), staged=True),
+    "dq_named_policies": _contract(
+        lambda c: dq.blankets_of(c.layers, c.groups, NAMED_TERMS), staged=True
+    ),
     "dq_pif_summary": _contract(lambda c: dq.pif_summary(c.pif, c.mart["policy_term"])),
     "dq_initial_final": _on_mart(lambda m: _initial_final(m, by_policy=False)),
     "dq_initial_final_policy": _on_mart(lambda m: _initial_final(m, by_policy=True)),

@@ -8,7 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from perilframe.functions.fixed import PERILS
+from perilframe.functions.layout import (
+    BLANKET_DEDUCTIBLES,
+    BLANKET_LIMITS,
+    PERIL_FLAGS,
+    SITE_DEDUCTIBLES,
+    SITE_LIMITS,
+    STREETS,
+)
 
 MONEY = "decimal(18,2)"
 PERCENT = "decimal(9,4)"
@@ -33,31 +40,7 @@ _EXCEPTIONS = {
     "construction_no": "int",
 }
 
-PERIL_FLAGS = tuple(f"{p.lower()}_ind" for p in PERILS)
 AUDIT = ("source_system_id", "create_ts", "update_ts")
-STREETS = tuple(f"street_address_{n}_txt" for n in range(1, 5))
-BLANKET_LIMITS = tuple(
-    f"blanket_{part}limit_{kind}"
-    for part in ("agg_", "", "building_", "contents_", "bi_", "combined_")
-    for kind in ("amt", "cd")
-)
-SITE_LIMITS = tuple(f"{part}_limit_amt" for part in ("site", "combined", "building", "contents", "bi"))
-BLANKET_DEDUCTIBLES = (
-    "blanket_agg_deductible_amt", "blanket_agg_deductible_cd",
-    "blanket_deductible_amt", "blanket_deductible_pcnt", "blanket_deductible_cd",
-    "blanket_bldg_deductible_amt", "blanket_bldg_deductible_cd",
-    "blanket_cnts_deductible_amt", "blanket_cnts_deductible_cd",
-    "blanket_bi_deductible_amt", "blanket_bi_deductible_pcnt", "blanket_bi_deductible_dur_no",
-    "blanket_bi_duration_unit_desc", "blanket_bi_deductible_cd",
-    "blanket_comb_deductible_amt", "blanket_comb_deductible_cd",
-)
-SITE_DEDUCTIBLES = (
-    "site_deductible_amt", "combined_deductible_amt",
-    "building_deductible_amt", "building_deductible_pcnt",
-    "contents_deductible_amt", "contents_deductible_pcnt",
-    "bi_deductible_amt", "bi_deductible_pcnt",
-    "bi_deductible_duration_no", "bi_duration_unit_desc",
-)
 ADDRESS = (
     "place_desc", *STREETS, "city_nm", "state_province_cd", "state_province_nm", "postal_cd",
     "county_cd", "county_nm", "country_cd", "country_nm", "country_schema_cd",
@@ -65,7 +48,7 @@ ADDRESS = (
 )
 EXTRA_FLAGS = ("eqsl_ind", "ordlaw_ind", "fire_follow_ind")
 
-# table -> columns, own surrogate key first
+# Table -> columns, own surrogate key first, as the catalogue lists them.
 TABLES: dict[str, tuple[str, ...]] = {
     "company": ("company_id", "company_cd", "company_nm", "company_abrv_cd", *AUDIT),
     "customer": ("customer_id", "customer_cd", "customer_nm", *AUDIT),
@@ -143,7 +126,7 @@ TABLES: dict[str, tuple[str, ...]] = {
     ),
 }
 
-# Feeder tables from the warehouse and the reference databases: only the columns read.
+# Feeder tables from the warehouse and the reference databases: only the columns read.
 FEEDS: dict[str, tuple[str, ...]] = {
     "d_policy": ("policy_id", "policy_symbol", "policy_number", "policy_module", "policy_version_cd"),
     "f_divisional_premiums": (

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,51 @@ from perilframe import schema
 from perilframe.functions.fixed import CONSTRUCTION_NUMBERS
 
 
+NO_NAMES: Mapping[str, str] = {}
+
+
+@dataclass(frozen=True)
+class JdbcTable:
+    """How one table of a database is read.
+
+    ``bounds`` (lowest, highest) of a numeric ``key`` (the table's own key unless named) reads
+    it in ``partitions`` ranges of equal width. ``borders`` of a key of any type reads it in
+    ranges between them, below the first, from the last on, and the rows without key.
+    """
+
+    name: str | None = None
+    key: str | None = None
+    bounds: tuple[int, int] | None = None
+    partitions: int = 1
+    borders: tuple[str, ...] = ()
+    fetch: int | None = None
+
+    def options(self, table: str, prefix: str = "") -> dict[str, str]:
+        out = {"dbtable": f"{prefix}{self.name or table}"}
+        if self.fetch:
+            out["fetchsize"] = str(self.fetch)
+        if self.bounds:
+            key = self.key or schema.columns(table)[0]
+            if schema.column_type(key) not in ("bigint", "int", "date", "timestamp"):
+                raise ValueError(f"{table}.{key} is no number or date; give borders instead of bounds")
+            low, high = self.bounds
+            out |= {"partitionColumn": key, "lowerBound": str(low), "upperBound": str(high),
+                    "numPartitions": str(self.partitions)}
+        return out
+
+    def predicates(self) -> list[str]:
+        """Conditions that every row meets one of."""
+        if not self.borders:
+            return []
+        if not self.key or self.bounds:
+            raise ValueError("borders need a key, and no bounds")
+        marks = ["'" + b.replace("'", "''") + "'" for b in self.borders]
+        if any(not a < b for a, b in zip(self.borders, self.borders[1:])):
+            raise ValueError("borders must rise")
+        between = (f"{self.key} >= {a} AND {self.key} < {b}" for a, b in zip(marks, marks[1:]))
+        return [f"{self.key} < {marks[0]} OR {self.key} IS NULL", *between, f"{self.key} >= {marks[-1]}"]
+
+
 class Mart:
     """Named tables. A table is built on first use, so a query only plans what it reads."""
 
@@ -24,24 +70,43 @@ class Mart:
             self._tables[table] = self._build(table)
         return self._tables[table]
 
+    def within(self, terms: DataFrame) -> Mart:
+        """The same mart for some policy terms (column ``policy_term_id``): every table that
+        holds that key keeps the rows of these terms only, before anything is aggregated."""
+        keys = terms.select("policy_term_id")
+
+        def build(table: str) -> DataFrame:
+            if "policy_term_id" in schema.columns(table):
+                return self[table].join(keys, "policy_term_id", "left_semi")
+            return self[table]
+
+        return Mart(self.spark, build)
+
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str) -> Mart:
-        """One Parquet folder per table under ``root``."""
-        return cls(spark, lambda t: spark.read.schema(schema.struct(t)).parquet(f"{root}/{t}"))
+    def from_parquet(cls, spark: SparkSession, root: str, names: Mapping[str, str] = NO_NAMES) -> Mart:
+        """One Parquet folder per table under ``root``; ``names`` gives those called otherwise."""
+        return cls(
+            spark,
+            lambda t: spark.read.schema(schema.struct(t)).parquet(f"{root}/{names.get(t, t)}"),
+        )
 
     @classmethod
-    def from_jdbc(cls, spark: SparkSession, url: str, prefix: str = "", **options: str) -> Mart:
-        """Tables of a database. Big tables are read in ranges of their surrogate key when
-        ``lowerBound``, ``upperBound`` and ``numPartitions`` are given."""
+    def from_jdbc(cls, spark: SparkSession, url: str, sources: Mapping[str, JdbcTable] | None = None,
+                  prefix: str = "", **options: str) -> Mart:
+        """Tables of a database. ``sources`` says how single tables are called and read; the
+        others are called as the mart calls them and read by one task. Only the columns of the
+        mart are asked for."""
 
         def build(table: str) -> DataFrame:
-            reader = spark.read.format("jdbc").options(
-                url=url, dbtable=f"{prefix}{table}", **options
-            )
-            if "numPartitions" in options:
-                reader = reader.option("partitionColumn", schema.columns(table)[0])
-            frame = reader.load()
+            source = (sources or {}).get(table, JdbcTable())
             wanted = schema.struct(table)
+            read = {"url": url, **options, **source.options(table, prefix)}
+            ranges = source.predicates()
+            if ranges:
+                name = read.pop("dbtable")
+                frame = spark.read.jdbc(read.pop("url"), name, predicates=ranges, properties=read)
+            else:
+                frame = spark.read.format("jdbc").options(**read).load()
             return frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted))
 
         return cls(spark, build)

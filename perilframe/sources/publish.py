@@ -22,14 +22,34 @@ BUCKET_KEYS = {
 }
 
 
-def write_file(file: DataFrame, path: str, partitions: Iterable[str], mode: str = "error") -> None:
+# Order of the rows inside a file.
+CONTRACT_ORDER = ("ContractID", "LayerID")
+LOCATION_ORDER = ("ContractID", "LocationName")
+
+
+def write_file(file: DataFrame, path: str, partitions: Iterable[str], mode: str = "error",
+               order: Iterable[str] = ()) -> None:
     """Write a file as Parquet, one folder per period and line of business.
 
     Rows are rebalanced on the partition columns first: small lines end in one file each,
     and adaptive execution splits a line that holds much of the rows over several tasks.
+    ``order`` sorts the rows of every file written. Mode ``replace`` puts the periods and
+    lines of this file in the place of those already there and leaves all others alone, so
+    that a run may be repeated.
     """
-    columns = tuple(partitions)
-    file.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(path)
+    columns, ordered = tuple(partitions), tuple(order)
+    dealt = file.hint("rebalance", *columns)
+    if ordered:
+        dealt = dealt.sortWithinPartitions(*columns, *ordered)
+    writer = dealt.write.partitionBy(*columns)
+    if mode == "replace":
+        writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
+    writer.mode(mode).parquet(path)
+
+
+def read_file(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A written file with the columns and types of ``like``."""
+    return spark.read.schema(like.schema).parquet(path).select(*(f"`{c}`" for c in like.columns))
 
 
 def write_csv(file: DataFrame, path: str, mode: str = "error") -> None:
@@ -41,6 +61,14 @@ def publish_view(file: DataFrame, name: str) -> None:
     file.createOrReplaceTempView(name)
 
 
+def publish_snapshots(snapshots: dict[str, DataFrame], kind: str) -> dict[str, str]:
+    """Register every snapshot as a view of its own; the names, by snapshot."""
+    names = {name: f"{kind}_{name}" for name in snapshots}
+    for name, view in names.items():
+        publish_view(snapshots[name], view)
+    return names
+
+
 def write_snapshot(file: DataFrame, root: str, snapshot: str, mode: str = "error") -> None:
     """Keep a file as one snapshot, to be compared with later ones."""
     file.write.mode(mode).parquet(f"{root}/snapshot={snapshot}")

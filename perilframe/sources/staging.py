@@ -28,7 +28,11 @@ class Stage:
         well, where none is set. The same on every master."""
         return cls(spark, spark.conf.get(SHARED_DIR, None) or spark.conf.get(WAREHOUSE))
 
+    def folder(self, name: str) -> str:
+        """Path of a subfolder for files that a run writes itself."""
+        return f"{self._root}/{name}"
+
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
-        path = f"{self._root}/{name}"
+        path = self.folder(name)
         frame.write.parquet(path)
         return self._spark.read.schema(frame.schema).parquet(path)

@@ -36,7 +36,7 @@ def _rows(df):
 
 def test_numbering_in_buckets_equals_one_window(frame):
     pif = _pif(frame)
-    assert _rows(number_in_group(pif, ids_per_bucket=13)) == _rows(_plain(pif))
+    assert _rows(number_in_group(pif, rows_per_range=13)) == _rows(_plain(pif))
 
 
 def test_samples(frame):
