@@ -2,7 +2,7 @@
 
 The documents of an input partition form one stream of tokens in their order. The stream is cut
 into windows of at most ``capacity`` tokens at document or sentence ends, and inside long sentences at
-any token, minimising padding plus a penalty per cut. A window as long as a power of two needs no
+every few tokens, minimising padding plus a penalty per cut. A window as long as a power of two needs no
 padding. Each task packs its own partition in blocks of bounded size, so nothing is shuffled, and a
 task that runs again gives the same sequences.
 """
@@ -29,8 +29,8 @@ CAPACITY = 2048
 END_ID = 1
 #: Cost of a window that ends inside a document, in padding tokens, and of one inside a sentence.
 CUT_PENALTY, SENTENCE_PENALTY = 8, 32
-#: A sentence of more than this part of the capacity may be cut at any token.
-LONG_PART = 8
+#: A sentence of more than this part of the capacity may be cut inside, at every such token.
+LONG_PART, STEP = 8, 16
 #: Signs that end a sentence, where the vocabulary has them as one token.
 ENDS = ".!?\u3002\uff01\uff1f\u061f\u0964\u06d4"
 #: Tokens that are planned together.
@@ -62,20 +62,15 @@ class Ids:
         self.forget()
 
     def forget(self) -> None:
-        self._known: dict[str, tuple[int, ...]] = {}
-        self._slot: dict[str, int] = {}
-        self._starts, self._sizes, self._table = array("q"), array("q"), array("I")
-
-    def word(self, word: str) -> tuple[int, ...]:
-        ids = self._known.get(word)
-        if ids is None:
-            if _PLAIN.fullmatch(word):
-                letters = word.encode().decode("latin-1").translate(self._letters)
-                ids = tuple(t.id for t in self._tokenizer.model.tokenize(letters))
-            else:
-                ids = tuple(self._tokenizer.encode(word, add_special_tokens=False).ids)
-            self._known[word] = ids
-        return ids
+        """Start anew, with the empty word in the first slot."""
+        self._slot: dict[str, int] = {"": 0}
+        self._starts, self._sizes, self._table = array("q", [0]), array("q", [0]), array("I")
+
+    def word(self, word: str) -> list[int]:
+        if _PLAIN.fullmatch(word):
+            letters = word.encode().decode("latin-1").translate(self._letters)
+            return [t.id for t in self._tokenizer.model.tokenize(letters)]
+        return self._tokenizer.encode(word, add_special_tokens=False).ids
 
     def sentence_ends(self) -> np.ndarray:
         found = [self.word(s) for s in ENDS]
@@ -101,30 +96,33 @@ class Ids:
         per_text = np.diff(split.offsets.to_numpy())
         if not len(chunks.dictionary):
             return np.full(len(texts), END_ID, np.uint32), np.ones(len(texts), np.int64)
-        at = self._slots(chunks.dictionary.to_pylist())[chunks.indices.to_numpy()]
+        at = self._parts(chunks.dictionary)[chunks.indices.to_numpy()].ravel()
         starts, sizes, table = (np.array(x) for x in (self._starts, self._sizes, self._table))
         flat = _take_runs(table, starts[at], sizes[at])
         token_at = np.r_[0, np.cumsum(sizes[at])]
-        ends = token_at[np.cumsum(per_text)]
+        ends = token_at[2 * np.cumsum(per_text)]
         return np.insert(flat, ends, END_ID), np.diff(np.r_[0, ends]) + 1
 
-    def _slots(self, chunks: list[str]) -> np.ndarray:
-        """Where the ids of each chunk of a text stand in the table, which grows by new ones."""
+    def _parts(self, chunks: pa.Array) -> np.ndarray:
+        """Two slots for each chunk of a text: a word in small letters and the signs behind it, where
+        the vocabulary parts them whatever surrounds them, else the chunk itself and nothing."""
+        core = pc.utf8_rtrim(chunks, _TAIL)
+        plain = pc.match_substring_regex(core, "^[A-Za-zÀ-ÖØ-öø-ÿ]+$")  # one small letter for each
+        lower = pc.utf8_lower(core)
+        tail = pc.struct_field(pc.extract_regex(chunks, f"(?P<tail>[{_TAIL}]*)$"), "tail")
+        first = pc.if_else(plain, lower, chunks).dictionary_encode()
+        second = pc.if_else(plain, tail, "").dictionary_encode()
         if len(self._slot) >= CACHED_WORDS:
             self.forget()
-        slots = list(map(self._slot.get, chunks))
+        return np.stack([self._slots(x.dictionary.to_pylist())[x.indices.to_numpy()] for x in (first, second)], axis=1)
+
+    def _slots(self, words: list[str]) -> np.ndarray:
+        """Where the ids of each word stand in the table, which grows by new ones."""
+        slots = list(map(self._slot.get, words))
         for i, slot in enumerate(slots):
             if slot is None:
-                chunk = chunks[i]
-                core = chunk.rstrip(_TAIL)
-                lower = core.lower()
-                if not _PLAIN.fullmatch(lower):
-                    ids = self.word(chunk) if chunk else ()
-                elif len(core) == len(chunk):
-                    ids = self.word(lower)
-                else:
-                    ids = self.word(lower) + self.word(chunk[len(core):])
-                slots[i] = self._slot[chunk] = len(self._sizes)
+                ids = self.word(words[i])
+                slots[i] = self._slot[words[i]] = len(self._sizes)
                 self._starts.append(len(self._table))
                 self._sizes.append(len(ids))
                 self._table.extend(ids)
@@ -152,7 +150,7 @@ def cut_points(ids: np.ndarray, doc_ends: np.ndarray, sentence_ends: np.ndarray,
     marks = np.union1d(np.flatnonzero(np.isin(ids, sentence_ends)) + 1, doc_ends)
     marks = np.union1d(marks, np.array([0, total]))
     long = np.flatnonzero(np.diff(marks) > max(1, capacity // LONG_PART))
-    points = np.union1d(marks, np.concatenate([marks[:1], *(np.arange(marks[i], marks[i + 1]) for i in long)]))
+    points = np.union1d(marks, np.concatenate([marks[:1], *(np.arange(marks[i], marks[i + 1], STEP) for i in long)]))
     price = np.where(np.isin(points, doc_ends), 0.0, np.where(np.isin(points, marks), penalty, sentence_penalty)).tolist()
     powers = [1 << k for k in range(capacity.bit_length()) if 1 << k <= capacity]
     ends, begins = [], []

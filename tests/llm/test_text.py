@@ -212,9 +212,10 @@ def padding(length, capacity):
     return 0 if length & (length - 1) == 0 else capacity - length
 
 
-@pytest.mark.parametrize("part", [1, 8])
-def test_cuts_are_the_cheapest(monkeypatch, part):
+@pytest.mark.parametrize("part, step", [(1, 1), (8, 1), (4, 3)])
+def test_cuts_are_the_cheapest(monkeypatch, part, step):
     monkeypatch.setattr(packing, "LONG_PART", part)
+    monkeypatch.setattr(packing, "STEP", step)
     draw = np.random.default_rng(2)
     for _ in range(60):
         n, capacity = int(draw.integers(1, 70)), 16
@@ -223,8 +224,8 @@ def test_cuts_are_the_cheapest(monkeypatch, part):
         marks = sorted({0, n} | docs | {i + 1 for i in range(n) if ids[i] == 0})
         price = {p: 0 if p in docs else 3 for p in marks}
         for a, b in zip(marks, marks[1:]):
-            if b - a > capacity // part:  # a long sentence may be cut at any token
-                price |= {p: 7 for p in range(a + 1, b)}
+            if b - a > capacity // part:  # a long sentence may be cut inside
+                price |= {p: 7 for p in range(a + step, b, step)}
         best = {0: 0.0}
         for j in sorted(price)[1:]:
             best[j] = min(best[i] + padding(j - i, capacity) for i in best if j - i <= capacity) + price[j]
