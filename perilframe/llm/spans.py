@@ -17,12 +17,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import staged
+from perilframe.llm.common import give_back, staged
 
 #: Sentences of a run, and its characters without the blanks between them, at least.
 RUN, SIZE = 2, 120
 #: Characters from which a sentence goes by its clauses.
 LONG = 90
+#: Runs that a task holds before it passes them on.
+ROWS = 1 << 16
 BLANKS = " \t\n\x0b\x0c\r"
 #: A sentence ends after its mark and the blanks behind it, or after a line; a clause after its mark or a
 #: word of nine characters or more.
@@ -58,22 +60,28 @@ def runs_of(pieces: list[str], run: int, size: int) -> tuple[list[str], np.ndarr
 
 
 def _hashed(run: int, size: int):
+    def made(batch: pa.RecordBatch, nth: list, places: list, digests: list) -> pa.RecordBatch:
+        half = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        owner = pa.array(np.concatenate(nth))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(np.concatenate(places)),
+             pa.array(half[:, 0]), pa.array(half[:, 1])], ["row", "id", "at", "high", "low"])
+
     def hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nth, places, digests = [], [], []
-            for row, text in enumerate(batch.column(2).to_pylist()):
-                keys, stop = runs_of(sentences(text or ""), run, size)
-                digests += (
-                    # No sentence has a line's end inside, so the join is unambiguous.
-                    xxhash.xxh3_128_digest("\n".join(keys[a:b])) for a, b in enumerate(stop.tolist()))
+            for row in range(batch.num_rows):
+                keys, stop = runs_of(sentences(batch.column(2)[row].as_py() or ""), run, size)
+                # No sentence has a line's end inside, so the join is unambiguous.
+                digests += (xxhash.xxh3_128_digest("\n".join(keys[a:b])) for a, b in enumerate(stop.tolist()))
                 places.append(np.arange(len(stop), dtype=np.int32))
                 nth.append(np.full(len(stop), row))
+                if len(digests) >= ROWS:
+                    yield made(batch, nth, places, digests)
+                    nth, places, digests = [], [], []
             if digests:
-                half = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                owner = pa.array(np.concatenate(nth))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(np.concatenate(places)),
-                     pa.array(half[:, 0]), pa.array(half[:, 1])], ["row", "id", "at", "high", "low"])
+                yield made(batch, nth, places, digests)
+            give_back()
 
     return hashes
 
@@ -118,7 +126,8 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
         F.count("*").alias("n"), F.min(F.struct("id", "row", "at")).alias("first")).where("n > 1")
         .select(*key, F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")))
     later = found.drop("id").join(first, key).where("row <> first_row or at <> first_at")
-    gone = later.groupBy("row").agg(F.collect_list("at").alias("gone"))
+    # Written down as well, so that the shuffle of the runs is gone before that of the texts.
+    gone = staged(later.groupBy("row").agg(F.collect_list("at").alias("gone")))
     return (
         texts.join(gone, "row", "left").select("id", "text", "gone")
         .mapInArrow(_cut(run, size), f"id {kind}, n_sentences long, n_removed long, kept_text string")
