@@ -6,17 +6,24 @@ smallest hash is the window's anchor, so equal windows have equal anchors at the
 at anchors that share their gram form one partition of the suffix array, sorted by Spark; a stack
 scan over the common prefixes of neighbours yields the tree of intervals, and the bytes before the
 anchors, sorted as well, say how far each interval's members agree to the left. All occurrences of a
-maximal repeat are found, not only neighbours. Equal texts are collapsed first. An anchor with very
-many occurrences is not gathered: its windows are hashed and counted one by one instead.
+maximal repeat are found, not only neighbours. Equal texts are collapsed first.
+
+No task holds a group of unbounded size. Where an anchor occurs very often, occurrences with equal
+surroundings are met in salted runs and only a few of them stay; a group that is still large is
+halved by where in a window the anchor stands, as the windows of a half share more bytes around it.
+Cut to those windows, surroundings become equal again and are collapsed again. The last halves hold
+one window, so its occurrences are all equal.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +32,10 @@ from perilframe.llm.common import runs, staged, text_bytes
 
 #: Bytes of a repeated string; bytes of a gram, whose windows hold LENGTH - GRAM + 1 of them.
 LENGTH, GRAM = 200, 64
-#: Occurrences of an anchor (half a MB with their bytes) from which its windows are counted one by one.
+#: Members of a group that one task sorts (half a MB with their bytes); larger groups are split first.
 HOT = 2000
+#: Tasks that occurrences with equal surroundings are dealt to.
+SALTS = 16
 _CHUNK = 1 << 19
 _PLACE = (1 << 20) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -125,17 +134,64 @@ def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window of the anchors as a hash of 128 bits."""
+_MET = ("hash long, lo int, hi int, tid long, place long, left binary, right binary, "
+        "start long, stop long")
+
+
+def _met(rows: pa.Table, same: np.ndarray, many: np.ndarray) -> pa.RecordBatch:
+    """Rows with the span that their equals cover; of equal rows the first keeps its surroundings."""
+    place = rows["place"].to_numpy()
+    start = place - pc.binary_length(rows["left"]).to_numpy()
+    stop = place + pc.binary_length(rows["right"]).to_numpy()
+    first = pa.array(np.arange(len(same)), mask=same)
+    columns = [rows[c] for c in ("hash", "lo", "hi", "tid", "place")]
+    columns += [rows[c].take(first) for c in ("left", "right")]
+    columns += [pa.array(x, pa.int64(), mask=~many) for x in (start, stop)]
+    names = [c.split()[0] for c in _MET.split(", ")]
+    return pa.table(columns, names).combine_chunks().to_batches()[0]
+
+
+def _collapse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Meets equal rows that stand together, compared byte by byte; only the last row is held back."""
+    held: pa.Table | None = None
+    held_same = False
     for batch in batches:
-        for tid, text, found in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2)):
-            place, _, low, high = (r.to_numpy().tolist() for r in found.values.flatten())
-            starts = [s for p, a, b in zip(place, low, high) for s in range(p - b, p - a + 1)]
-            digests = [xxhash.xxh3_128_digest(text[s : s + LENGTH]) for s in starts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array([tid] * len(starts), pa.int64()), pa.array(starts, pa.int64())],
-                ["window", "tid", "start"],
-            )
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        if held is not None:
+            rows = pa.concat_tables([held, rows]).combine_chunks()
+        n = rows.num_rows
+        same = np.zeros(n + 1, bool)
+        same[0] = held_same
+        equal = np.ones(n - 1, bool)
+        for name in ("hash", "left", "right"):
+            column = rows[name]
+            equal &= pc.equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        same[1:n] = equal
+        if n > 1:
+            yield _met(rows.slice(0, n - 1), same[: n - 1], same[: n - 1] | same[1:n])
+        held, held_same = rows.take([n - 1]), bool(same[n - 1])
+    if held is not None:
+        yield _met(held, np.array([held_same]), np.array([held_same]))
+
+
+def _halves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row once for either half of the places that the anchor may have in a window, with the
+    surroundings those windows reach; the new key is what all windows of a half share."""
+    names = ["hash", "lo", "hi", "tid", "place", "left", "right"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    for batch in batches:
+        out = []
+        for h, lo, hi, tid, place, left, right in zip(*(batch.column(c).to_pylist() for c in names)):
+            middle = (lo + hi) // 2
+            for a, b in ((lo, middle), (middle + 1, hi)):
+                if max(a, LENGTH - len(right)) <= min(b, len(left)):
+                    shared = struct.pack("<qii", h, a, b) + left[:a] + right[: LENGTH - b]
+                    key = xxhash.xxh3_64_intdigest(shared) - (1 << 63)
+                    out.append((key, a, b, tid, place, left[:b], right[: LENGTH - a]))
+        columns = list(zip(*out)) or [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
 def _common(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -250,6 +306,44 @@ def _gathered(found: DataFrame, columns: str) -> DataFrame:
     return found.groupBy("tid").agg(F.collect_list(F.struct(*columns.split())).alias("found"))
 
 
+def _tree(contexts: DataFrame) -> DataFrame:
+    """Spans around anchors whose group fits a task."""
+    return (
+        contexts.repartition("hash").sortWithinPartitions("hash", "right")
+        .select("hash", "tid", "place", "left", "right")
+        .mapInArrow(_repeats, "tid long, start long, stop long")
+    )
+
+
+def _large_groups(contexts: DataFrame) -> DataFrame:
+    """Spans around anchors that occur very often, by at most eight halvings."""
+    salt = F.pmod(F.hash("tid", "place"), F.lit(SALTS))
+    rows = contexts.withColumns({"lo": F.lit(0), "hi": F.lit(LENGTH - GRAM)})
+    covers = None
+    while True:
+        met = staged(
+            rows.withColumns({"same": F.xxhash64("hash", "left", "right"), "salt": salt})
+            .repartition("same", "salt").sortWithinPartitions("same")
+            .select("hash", "lo", "hi", "tid", "place", "left", "right")
+            .mapInArrow(_collapse, _MET)
+        )
+        spans = met.where("start is not null").select("tid", "start", "stop")
+        covers = spans if covers is None else covers.union(spans)
+        left = met.where("left is not null").drop("start", "stop")
+        large = staged(
+            left.where("lo < hi").groupBy("hash").agg(F.count("*").alias("members"))
+            .where(F.col("members") > HOT).select("hash"))
+        if large.isEmpty():
+            return covers.union(_tree(left))
+        # Large keys are few, and each meets its members in SALTS parts.
+        large = large.select("hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+                             F.lit(True).alias("large"))
+        marked = staged(left.withColumn("salt", salt).join(large, ["hash", "salt"], "left"))
+        covers = covers.union(_tree(marked.where("large is null")))
+        rows = marked.where("large").select("hash", "lo", "hi", "tid", "place", "left", "right").mapInArrow(
+            _halves, "hash long, lo int, hi int, tid long, place long, left binary, right binary")
+
+
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_bytes, ``removed`` (spans in bytes, ends exclusive) and ``kept_sha256`` of what is left.
 
@@ -270,24 +364,17 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         _anchor_rows, "tid long, place long, hash long, low long, high long"))
     counts = found.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1")
     shared = staged(found.join(counts, "hash"))
-    place = "place hash low high"
-    usual = _gathered(shared.where(F.col("times") <= HOT), place)
-    covers = (
-        texts.join(usual, "tid").select("tid", "text", "found")
-        .mapInArrow(_contexts, "hash long, tid long, place long, left binary, right binary")
-        .repartition("hash").sortWithinPartitions("hash", "right")
-        .mapInArrow(_repeats, "tid long, start long, stop long")
-    )
+    context = "hash long, tid long, place long, left binary, right binary"
+
+    def contexts(part: DataFrame) -> DataFrame:
+        return texts.join(_gathered(part, "place hash low high"), "tid").select("tid", "text", "found").mapInArrow(
+            _contexts, context)
+
+    covers = _tree(contexts(shared.where(F.col("times") <= HOT)))
+    often = shared.where(F.col("times") > HOT)
+    if not often.isEmpty():
+        covers = covers.union(_large_groups(contexts(often)))
     covers = staged(covers)
-    hot = shared.where(F.col("times") > HOT)
-    if not hot.isEmpty():
-        windows = staged(
-            texts.join(_gathered(hot, place), "tid").select("tid", "text", "found")
-            .mapInArrow(_windows, "window binary, tid long, start long"))
-        again = windows.groupBy("window").agg(F.count("*").alias("times")).where("times > 1")
-        counted = windows.join(again.select("window"), "window").select(
-            "tid", "start", (F.col("start") + LENGTH).alias("stop"))
-        covers = covers.union(counted)
     cut = (
         texts.where("n = 1").join(_gathered(covers, "start stop"), "tid").select("digest", "text", "found")
         .mapInArrow(_cut, "digest binary, removed array<struct<start: long, stop: long>>, kept_sha256 string")

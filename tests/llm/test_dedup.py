@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -115,6 +116,32 @@ def test_removed_bytes_match_brute_force(spark, monkeypatch, hot):
     assert removals(spark.createDataFrame(rows, "doc_id long, text string")) == slow_removals(rows)
 
 
+def test_common_passage_in_many_surroundings(spark, monkeypatch):
+    """One passage in every text, longer and shorter than what counts, cut at different places."""
+    monkeypatch.setattr(repeats, "HOT", 8)
+    draw = random.Random(9)
+    passage = "".join(draw.choice("abcdefg ") for _ in range(330))
+    noise = lambda n: "".join(draw.choice("klmnop ") for _ in range(n))
+    rows = [(i, noise(draw.randint(0, 90)) + passage[draw.randint(0, 80):draw.randint(180, 330)] + noise(80))
+            for i in range(60)]
+    rows += [(100 + i, noise(150) + passage[:270] + noise(i)) for i in range(40)]
+    rows += [(200 + i, passage[60:300] + str(i)) for i in range(20)]
+    assert removals(spark.createDataFrame(rows, "doc_id long, text string")) == slow_removals(rows)
+
+
+def test_equal_rows_meet_across_batches():
+    names = ["hash", "lo", "hi", "tid", "place", "left", "right"]
+    rows = [(1, 0, 9, t, 50, b"ab", c) for t, c in enumerate([b"x", b"x", b"x", b"y", b"z", b"z"])]
+    for size in (1, 2, 3, 6):
+        batches = [
+            pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[i : i + size]])
+            for i in range(0, len(rows), size)
+        ]
+        found = [r for b in repeats._collapse(batches) for r in b.to_pylist()]
+        assert [(r["start"], r["stop"]) for r in found] == [(48, 51)] * 3 + [(None, None)] + [(48, 51)] * 2
+        assert [r["left"] is not None for r in found] == [True, False, False, True, True, False]
+
+
 def test_anchors_do_not_depend_on_chunks(monkeypatch):
     text = bytes(random.Random(5).choice(b"abcd ") for _ in range(5000))
     whole = [a.tolist() for a in repeats.anchors([text, text[:900]])]
