@@ -8,11 +8,11 @@ scan over the common prefixes of neighbours yields the tree of intervals, and th
 anchors, sorted as well, say how far each interval's members agree to the left. All occurrences of a
 maximal repeat are found, not only neighbours. Equal texts are collapsed first.
 
-No task holds a group of unbounded size. Where an anchor occurs very often, occurrences with equal
-surroundings are met in salted runs and only a few of them stay; a group that is still large is
-halved by where in a window the anchor stands, as the windows of a half share more bytes around it.
-Cut to those windows, surroundings become equal again and are collapsed again. The last halves hold
-one window, so its occurrences are all equal.
+No task holds a group of unbounded size. Occurrences of an anchor with equal surroundings are met
+first, a frequent anchor's in several tasks, and one of each task stays. A group that is still large
+is halved by where in a window the anchor stands, as the windows of a half share more bytes around
+it. Cut to those windows, surroundings become equal again and are met again. The last halves hold one
+window, so its occurrences are all equal.
 """
 
 from __future__ import annotations
@@ -123,14 +123,15 @@ def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for tid, text, found in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2)):
             rows = found.values.flatten()
-            place, h, low, high = (r.to_numpy().tolist() for r in rows)
+            place, h, low, high = (r.to_numpy().tolist() for r in rows[:4])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(h, pa.int64()), pa.array([tid] * len(h), pa.int64()), pa.array(place, pa.int64()),
                     pa.array([text[p - x : p][::-1] for p, x in zip(place, high)], pa.binary()),
                     pa.array([text[p : p + LENGTH - x] for p, x in zip(place, low)], pa.binary()),
+                    rows[4],
                 ],
-                ["hash", "tid", "place", "left", "right"],
+                ["hash", "tid", "place", "left", "right", "often"],
             )
 
 
@@ -315,14 +316,15 @@ def _tree(contexts: DataFrame) -> DataFrame:
     )
 
 
-def _large_groups(contexts: DataFrame) -> DataFrame:
-    """Spans around anchors that occur very often, by at most eight halvings."""
+def _covers(contexts: DataFrame) -> DataFrame:
+    """Spans around anchors that are part of a repeated string, by at most eight halvings."""
     salt = F.pmod(F.hash("tid", "place"), F.lit(SALTS))
+    dealt = F.when(F.col("often"), salt).otherwise(0)
     rows = contexts.withColumns({"lo": F.lit(0), "hi": F.lit(LENGTH - GRAM)})
     covers = None
     while True:
         met = staged(
-            rows.withColumns({"same": F.xxhash64("hash", "left", "right"), "salt": salt})
+            rows.withColumns({"same": F.xxhash64("hash", "left", "right"), "salt": dealt})
             .repartition("same", "salt").sortWithinPartitions("same")
             .select("hash", "lo", "hi", "tid", "place", "left", "right")
             .mapInArrow(_collapse, _MET)
@@ -341,7 +343,8 @@ def _large_groups(contexts: DataFrame) -> DataFrame:
         marked = staged(left.withColumn("salt", salt).join(large, ["hash", "salt"], "left"))
         covers = covers.union(_tree(marked.where("large is null")))
         rows = marked.where("large").select("hash", "lo", "hi", "tid", "place", "left", "right").mapInArrow(
-            _halves, "hash long, lo int, hi int, tid long, place long, left binary, right binary")
+            _halves, "hash long, lo int, hi int, tid long, place long, left binary, right binary"
+        ).withColumn("often", F.lit(True))
 
 
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -363,18 +366,12 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     found = staged(texts.select("tid", "text").mapInArrow(
         _anchor_rows, "tid long, place long, hash long, low long, high long"))
     counts = found.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1")
-    shared = staged(found.join(counts, "hash"))
-    context = "hash long, tid long, place long, left binary, right binary"
-
-    def contexts(part: DataFrame) -> DataFrame:
-        return texts.join(_gathered(part, "place hash low high"), "tid").select("tid", "text", "found").mapInArrow(
-            _contexts, context)
-
-    covers = _tree(contexts(shared.where(F.col("times") <= HOT)))
-    often = shared.where(F.col("times") > HOT)
-    if not often.isEmpty():
-        covers = covers.union(_large_groups(contexts(often)))
-    covers = staged(covers)
+    shared = found.join(counts, "hash").withColumn("often", F.col("times") > HOT)
+    contexts = (
+        texts.join(_gathered(shared, "place hash low high often"), "tid").select("tid", "text", "found")
+        .mapInArrow(_contexts, "hash long, tid long, place long, left binary, right binary, often boolean")
+    )
+    covers = staged(_covers(contexts))
     cut = (
         texts.where("n = 1").join(_gathered(covers, "start stop"), "tid").select("digest", "text", "found")
         .mapInArrow(_cut, "digest binary, removed array<struct<start: long, stop: long>>, kept_sha256 string")
