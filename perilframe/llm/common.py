@@ -41,13 +41,14 @@ def _freed_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def staged(frame: DataFrame) -> DataFrame:
+def staged(frame: DataFrame, codec: str | None = None) -> DataFrame:
     """Write a frame once into the shared folder and read it from there: it cuts the lineage, and
-    a lost executor costs a read. Folders are left to the retention policy of that place."""
+    a lost executor costs a read. Folders are left to the retention policy of that place. ``codec``
+    is the compression, the session's where it is not given."""
     spark = frame.sparkSession
     path = shared_dir(spark)
     with _freed_shuffles(spark):
-        frame.write.parquet(path)
+        frame.write.parquet(path, compression=codec)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -36,6 +36,8 @@ LENGTH, GRAM = 200, 64
 HOT = 2000
 #: Tasks that occurrences with equal surroundings are dealt to.
 SALTS = 16
+#: Texts and their pieces are staged several times over, so they are packed tighter than by default.
+CODEC = "zstd"
 _CHUNK = 1 << 19
 _PLACE = (1 << 20) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -327,7 +329,8 @@ def _covers(contexts: DataFrame) -> DataFrame:
             rows.withColumns({"same": F.xxhash64("hash", "left", "right"), "salt": dealt})
             .repartition("same", "salt").sortWithinPartitions("same")
             .select("hash", "lo", "hi", "tid", "place", "left", "right")
-            .mapInArrow(_collapse, _MET)
+            .mapInArrow(_collapse, _MET),
+            CODEC,
         )
         spans = met.where("start is not null").select("tid", "start", "stop")
         covers = spans if covers is None else covers.union(spans)
@@ -340,7 +343,7 @@ def _covers(contexts: DataFrame) -> DataFrame:
         # Large keys are few, and each meets its members in SALTS parts.
         large = large.select("hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
                              F.lit(True).alias("large"))
-        marked = staged(left.withColumn("salt", salt).join(large, ["hash", "salt"], "left"))
+        marked = staged(left.withColumn("salt", salt).join(large, ["hash", "salt"], "left"), CODEC)
         covers = covers.union(_tree(marked.where("large is null")))
         rows = marked.where("large").select("hash", "lo", "hi", "tid", "place", "left", "right").mapInArrow(
             _halves, "hash long, lo int, hi int, tid long, place long, left binary, right binary"
@@ -362,11 +365,11 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         .groupBy(digest.alias("digest"))
         .agg(F.first("text").alias("text"), F.count("*").alias("n"))
     )
-    texts = staged(distinct.withColumn("tid", F.monotonically_increasing_id()))
+    texts = staged(distinct.withColumn("tid", F.monotonically_increasing_id()), CODEC)
     found = staged(texts.select("tid", "text").mapInArrow(
-        _anchor_rows, "tid long, place long, hash long, low long, high long"))
+        _anchor_rows, "tid long, place long, hash long, low long, high long"), CODEC)
     counts = found.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1")
-    shared = found.join(counts, "hash").withColumn("often", F.col("times") > HOT)
+    shared = staged(found.join(counts, "hash").withColumn("often", F.col("times") > HOT).drop("times"), CODEC)
     contexts = (
         texts.join(_gathered(shared, "place hash low high often"), "tid").select("tid", "text", "found")
         .mapInArrow(_contexts, "hash long, tid long, place long, left binary, right binary, often boolean")
