@@ -1,10 +1,11 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-A bounded sample of labelled texts gives the terms that tell the classes apart, and the examples.
-Term statistics come from all documents. The index holds the examples in blocks with the largest
-weight of each term per block; blocks are visited by falling upper bound until none can hold a
-nearer example, so the neighbours are exact. Their votes, weighted by similarity, are calibrated on
-the examples themselves, each scored without its own vote.
+A bounded sample of labelled texts gives the examples, clean ones too, and all their terms enter the
+index. A term's weight is its TF-IDF, its document frequency taken from all documents, times how much
+its presence goes with the label; no term's weight is nought. The index keeps the postings of a term in
+blocks of examples, each with its largest weight; blocks are visited by falling upper bound until none
+can hold a nearer example, so the neighbours are exact. Their votes, weighted by similarity, are
+calibrated on the examples themselves, each scored without its own vote.
 """
 
 from __future__ import annotations
@@ -13,24 +14,29 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import fresh, give_back, shingle_hashes, term_hashes, terms
+from perilframe.llm.common import fresh, give_back, shingle_hashes, staged, term_hashes, terms
 
-#: Labelled examples of each class at most, terms at most, and their least association (chi-square).
-EXAMPLES, TERMS, ASSOCIATION, LEAST_DOCS = 2000, 256, 30.0, 8
-#: Share of toxic among the labelled texts with a term, at least: weaker terms mostly hit clean ones.
-PRECISION = 0.75
+#: Labelled examples of each class at most.
+EXAMPLES = 2000
+#: Weight of a term without any association with the label, against 1 for one that decides it.
+INDIFFERENT = 0.01
 NEIGHBOURS, BLOCK = 15, 64
+#: Blocks visited at first; each further visit takes twice as many.
+VISIT = 4
+#: Heaviest terms and nearest examples given as evidence.
+HEAVIEST, NEAREST = 5, 3
 #: Examples that share their least shingle of so many terms count as copies; one of them is used.
 SHINGLE = 5
 
 
-def _vectors(texts: pa.Array, vocabulary: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _vectors(texts: pa.Array, vocabulary: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Term numbers and counts of each text, over the vocabulary."""
     dictionary, index, offsets = terms(texts)
-    number = np.fromiter((vocabulary.get(t, -1) for t in dictionary.to_pylist()), np.int64, len(dictionary))
+    number = _numbers(dictionary, vocabulary)
     at = number[index] if len(index) else np.zeros(0, np.int64)
     known = np.flatnonzero(at >= 0)
     cut = np.searchsorted(known, offsets)
@@ -38,6 +44,12 @@ def _vectors(texts: pa.Array, vocabulary: dict[str, int]) -> Iterator[tuple[np.n
         yield np.unique(at[known[a:b]], return_counts=True)
 
 
+def _numbers(words: pa.Array, vocabulary: pa.Array) -> np.ndarray:
+    """Place of each word in the vocabulary, -1 where it is not there."""
+    found = pc.index_in(words.cast(pa.large_string()), value_set=vocabulary)
+    return pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _sample(labels: DataFrame, learnable: Column, doc_id: str, toxic: str) -> tuple[DataFrame, dict]:
     """At most EXAMPLES ids of each class, spread by hash, and how many there are of each. An id with
     several labels counts as toxic if one says so; null ids and labels are left out."""
@@ -56,58 +68,97 @@ def _sample(labels: DataFrame, learnable: Column, doc_id: str, toxic: str) -> tu
 
 
 def _example_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Different terms of each example, and its least shingle."""
+    """Different terms of each example with their counts, and its least shingle."""
     for batch in batches:
         dictionary, index, offsets = terms(batch.column(2))
         hashes, words = term_hashes(dictionary), dictionary.to_pylist()
-        found = [np.unique(index[a:b]) for a, b in zip(offsets, offsets[1:])]
+        found = [np.unique(index[a:b], return_counts=True) for a, b in zip(offsets, offsets[1:])]
         least = []
         for a, b in zip(offsets, offsets[1:]):
             shingles = shingle_hashes(hashes[index[a:b]], min(SHINGLE, max(1, b - a)))
             least.append(int(shingles.min().view(np.int64)) if len(shingles) else 0)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(least, pa.int64()),
-             pa.array([[words[i] for i in f] for f in found], pa.list_(pa.string()))],
-            ["id", "toxic", "least", "terms"],
+             pa.array([[words[i] for i in at] for at, _ in found], pa.list_(pa.string())),
+             pa.array([count for _, count in found], pa.list_(pa.int64()))],
+            ["id", "toxic", "least", "terms", "count"],
         )
 
 
+def _spread(first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one after another."""
+    length = stop - first
+    return np.arange(length.sum()) + np.repeat(first - np.cumsum(length) + length, length)
+
+
 class Index:
-    """Examples by block, with the largest weight of each term in a block."""
+    """Postings of every term by blocks of examples, each with the largest weight in it.
 
-    def __init__(self, ids: list, labels: np.ndarray, weights: np.ndarray):
-        size = max(1, -(-len(ids) // BLOCK))
+    ``vectors`` holds the terms and weights of each example; all weights are above 0. ``order`` tells
+    which example stands at each position.
+    """
+
+    def __init__(self, ids: list, labels: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         # Alike examples stand together: by their heaviest term.
-        order = np.argsort(weights.argmax(axis=1) if len(ids) else [], kind="stable")
-        self.ids, self.labels = [ids[i] for i in order], labels[order]
-        self.weights = np.zeros((size * BLOCK, weights.shape[1]), np.float32)
-        self.weights[: len(ids)] = weights[order]
-        self.largest = self.weights.reshape(size, BLOCK, -1).max(axis=1)
+        heaviest = [at[weight.argmax()] if len(at) else -1 for at, weight in vectors]
+        order = np.argsort(heaviest, kind="stable") if vectors else np.zeros(0, int)
+        self.order, self.ids, self.labels = order, [ids[i] for i in order], labels[order]
+        self.blocks = -(-len(order) // BLOCK)
+        example = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order]).astype(np.int32)
+        term = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0, np.int64)])
+        weight = np.concatenate([vectors[i][1] for i in order] or [np.zeros(0)])
+        by_term = np.argsort(term, kind="stable")
+        term, self.example, self.weight = term[by_term], example[by_term], weight[by_term].astype(np.float32)
+        block = self.example // BLOCK
+        new = np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])] if len(term) else np.zeros(0, bool)
+        start = np.flatnonzero(new)
+        self.block = block[start]
+        self.largest = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0, np.float32)
+        self.start = np.r_[start, len(term)]
+        self.of_term = np.searchsorted(term[start], np.arange(n_terms + 1))
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k nearest examples with a term in common, (similarity, position), ties by position."""
-        bound = self.largest[:, at] @ weight
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or len(best) == k and bound[block] < best[-1][0] - 1e-6:
-                break
-            first = block * BLOCK
-            similar = self.weights[first : first + BLOCK, at] @ weight
-            found = [(float(similar[i]), first + int(i)) for i in np.flatnonzero(similar > 0)]
-            best = sorted([*best, *(f for f in found if f[1] != without)], key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        first, stop = self.of_term[at], self.of_term[at + 1]
+        lists = _spread(first, stop)
+        factor = np.repeat(weight.astype(np.float64), stop - first)
+        bound = np.bincount(self.block[lists], factor * self.largest[lists], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        best, similar = np.zeros(0, np.int64), np.zeros(len(self.ids))
+        done, size = 0, VISIT
+        while done < len(order):
+            visit = order[done : done + size]
+            if len(best) == k:
+                visit = visit[bound[visit] >= similar[best[-1]] - 1e-6]
+                if not len(visit):
+                    break
+            chosen = np.zeros(self.blocks, bool)
+            chosen[visit] = True
+            here = chosen[self.block[lists]]
+            a, b = self.start[lists[here]], self.start[lists[here] + 1]
+            postings = _spread(a, b)
+            found = np.bincount(self.example[postings], np.repeat(factor[here], b - a) * self.weight[postings],
+                                len(self.ids))
+            similar += found  # blocks are visited once, so an example's sum is whole
+            found = np.flatnonzero(found)
+            best = np.concatenate([best, found[found != without]])
+            best = best[np.lexsort((best, -similar[best]))][:k]
+            done, size = done + size, size * 2
+        return [(float(similar[i]), int(i)) for i in best]
 
 
 class Model:
-    """Vocabulary, inverse document frequencies, index and calibration; bounded by the parameters."""
+    """Vocabulary, weights of its terms, index and calibration; bounded by the sample."""
 
-    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, index: Index, prior: float):
-        self.vocabulary, self.idf, self.index, self.prior = vocabulary, idf, index, prior
+    def __init__(self, vocabulary: pa.Array, factor: np.ndarray, prior: float):
+        self.vocabulary, self.factor, self.prior = vocabulary, factor, prior
+        self.index = Index([], np.zeros(0), [], len(vocabulary))
         self.steps: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def weigh(self, at: np.ndarray, count: np.ndarray) -> np.ndarray:
-        weight = (1 + np.log(count)) * self.idf[at]
-        return (weight / np.linalg.norm(weight)).astype(np.float32)
+        weight = (1 + np.log(count)) * self.factor[at]
+        return weight / np.linalg.norm(weight)
 
     def vote(self, best: list[tuple[float, int]]) -> float:
         """Share of toxic votes, weighted by similarity."""
@@ -119,6 +170,15 @@ class Model:
         return float(np.interp(self.vote(best), *self.steps)) if best else self.prior
 
 
+def association(a: np.ndarray, b: np.ndarray, ones: int, zeros: int) -> np.ndarray:
+    """How much a term's presence goes with the label, 0 to 1: the phi coefficient with correction for
+    continuity, where ``a`` of the ``ones`` and ``b`` of the ``zeros`` have the term."""
+    n = ones + zeros
+    off = np.maximum(0.0, np.abs(a * zeros - b * ones) - n / 2)
+    spread = float(ones) * zeros * (a + b) * (n - a - b)
+    return np.sqrt(np.divide(off**2, spread, out=np.zeros(len(a)), where=spread > 0))
+
+
 def _calibrated(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rising steps through the labels (pool adjacent violators), as points to interpolate."""
     pools: list[list[float]] = []
@@ -132,44 +192,30 @@ def _calibrated(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple
 
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, doc_id: str = "doc_id",
         text: str = "text", toxic: str = "toxic") -> Model:
-    """``learnable`` is a condition on ``labels``. Without examples the model scores all texts 0."""
+    """``learnable`` is a condition on ``labels``. With examples of one class alone, or of none, the
+    model scores all texts 1 where that class is the toxic one, otherwise 0."""
     sample, counts = _sample(labels, learnable, doc_id, toxic)
-    empty = Model({}, np.zeros(0), Index([], np.zeros(0), np.zeros((0, 0))), 0.0)
+    nothing = pa.array([], pa.large_string())
     if not counts.get(1) or not counts.get(0):
-        empty.prior = float(bool(counts.get(1)))
-        return empty
+        return Model(nothing, np.zeros(0), float(bool(counts.get(1))))
+    rate = counts[1] / (counts[0] + counts[1])
     narrow = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    # Two classes of EXAMPLES ids at most, so the broadcast is bounded.
-    examples = (
+    id_type = sample.schema["id"].dataType.simpleString()
+    # Two classes of EXAMPLES ids at most, so the broadcast is bounded. Of copies the first stays.
+    examples = staged(
         narrow.join(F.broadcast(sample), "id")
         .select("id", "toxic", "text")
-        .mapInArrow(_example_rows, f"id {sample.schema['id'].dataType.simpleString()}, toxic int, "
-                                   "least long, terms array<string>")
-        .groupBy("least").agg(F.min_by(F.struct("id", "toxic", "terms"), "id").alias("e"))
+        .mapInArrow(_example_rows, f"id {id_type}, toxic int, least long, terms array<string>, count array<long>")
+        .groupBy("least").agg(F.min(F.struct("id", "toxic", "terms", "count")).alias("e"))
         .select("e.*")
     )
     sizes = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
-    # Classes are sampled apart: an example stands for so many labelled texts.
-    stand_one, stand_zero = counts[1] / max(1, ones), counts[0] / max(1, zeros)
-    in_one = F.count_if(F.col("toxic") == 1).cast("double")
-    in_zero = F.count_if(F.col("toxic") == 0).cast("double")
+    if not sizes:
+        return Model(nothing, np.zeros(0), rate)
     counted = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
-        in_one.alias("a"), in_zero.alias("b"))
-    chi = F.try_divide(
-        (ones + zeros) * F.pow(F.col("a") * zeros - F.col("b") * ones, 2),
-        F.lit(float(ones)) * zeros * (F.col("a") + F.col("b")) * (ones + zeros - F.col("a") - F.col("b")),
-    )
-    chosen = (
-        counted.withColumn("chi", chi)
-        .where((F.col("a") + F.col("b") >= LEAST_DOCS) & (F.col("chi") >= ASSOCIATION))
-        .where(F.col("a") * stand_one >= PRECISION * (F.col("a") * stand_one + F.col("b") * stand_zero))
-        .orderBy(F.desc("chi"), "term").limit(TERMS).collect()
-    )
-    vocabulary = {r["term"]: i for i, r in enumerate(chosen)}
-    if not vocabulary:
-        empty.prior = counts[1] / (counts[0] + counts[1])
-        return empty
+        F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")
+    ).toArrow().sort_by("term")  # the terms of the sample
+    vocabulary = counted["term"].combine_chunks().cast(pa.large_string())
 
     def frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(len(vocabulary), np.int64), 0
@@ -177,46 +223,48 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, doc_id: str = "do
             n += batch.num_rows
             for at, _ in _vectors(batch.column(0), vocabulary):
                 seen[at] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(seen))), pa.array([n, *seen])], ["term", "n"])
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[n, seen[at]])], ["term", "n"])
+        give_back()
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(_vectors(batch.column(2), vocabulary))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.list_(pa.int64())),
-                 pa.array([f[1] for f in found], pa.list_(pa.int64()))],
-                ["id", "toxic", "at", "count"],
-            )
-
-    rows = narrow.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(
-        F.sum("n").alias("n")).collect()
-    seen = {r["term"]: r["n"] for r in rows}
-    idf = np.log((1 + seen.get(-1, 0)) / (1 + np.array([seen.get(i, 0) for i in range(len(vocabulary))]))) + 1
-    kept = examples.select("id").distinct()
-    schema = f"id {sample.schema['id'].dataType.simpleString()}, toxic int, at array<long>, count array<long>"
-    ids = F.broadcast(sample.join(kept, "id", "left_semi"))
-    rows = narrow.join(ids, "id").select("id", "toxic", "text").mapInArrow(vectors, schema).groupBy(
-        "id").agg(F.first("toxic").alias("toxic"), F.first("at").alias("at"), F.first("count").alias("count")
-                  ).orderBy("id").collect()
-    with_terms = [r for r in rows if r["at"]]
-    model = Model(vocabulary, idf, empty.index, 0.0)
-    weights = np.zeros((len(with_terms), len(vocabulary)), np.float32)
-    for i, r in enumerate(with_terms):
-        weights[i, r["at"]] = model.weigh(np.array(r["at"]), np.array(r["count"]))
-    model.index = Index([r["id"] for r in with_terms], np.array([r["toxic"] for r in with_terms], float), weights)
-    stands = [counts[c] / max(1, sum(r["toxic"] == c for r in rows)) for c in (0, 1)]
-    bare = [stands[r["toxic"]] * np.array([1, r["toxic"]]) for r in rows if not r["at"]]
-    model.prior = float(sum(b[1] for b in bare) / sum(b[0] for b in bare)) if bare else 0.0
-    raw, label, weight = [], [], []
-    for i in range(len(with_terms)):
-        at = np.flatnonzero(model.index.weights[i])
-        best = model.index.nearest(at, model.index.weights[i, at], NEIGHBOURS, without=i)
+            words = batch.column(2)
+            at = pa.ListArray.from_arrays(
+                words.offsets, pa.array(_numbers(words.values, vocabulary)), mask=words.is_null())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), at, batch.column(3)],
+                                             ["id", "toxic", "at", "count"])
+
+    seen = narrow.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(
+        F.sum("n").alias("n")).toArrow()
+    in_docs = np.zeros(len(vocabulary) + 1)
+    in_docs[seen["term"].to_numpy()] = seen["n"].to_numpy()  # the number of documents comes last
+    idf = np.log((1 + in_docs[-1]) / (1 + in_docs[:-1])) + 1
+    told = association(counted["a"].to_numpy().astype(float), counted["b"].to_numpy().astype(float),
+                       sizes.get(1, 0), sizes.get(0, 0))
+    model = Model(vocabulary, idf * (INDIFFERENT + (1 - INDIFFERENT) * told), rate)
+    rows = examples.mapInArrow(vectors, f"id {id_type}, toxic int, at array<long>, count array<long>").orderBy(
+        "id", "toxic", "at", "count").toArrow()
+    at = [np.array(x.values) for x in rows["at"]]
+    count = [np.array(x.values) for x in rows["count"]]
+    label, ids = rows["toxic"].to_numpy().astype(float), rows["id"].to_pylist()
+    real = [i for i in range(len(at)) if len(at[i])]
+    weighed = {i: model.weigh(at[i], count[i]) for i in real}
+    model.index = Index([ids[i] for i in real], label[real], [(at[i], weighed[i]) for i in real], len(vocabulary))
+    # Classes are sampled apart: an example stands for so many labelled texts.
+    stands = [counts[c] / max(1, sizes.get(c, 0)) for c in (0, 1)]
+    bare = [stands[int(label[i])] * np.array([1, label[i]]) for i in range(len(at)) if not len(at[i])]
+    if bare:
+        model.prior = float(sum(b[1] for b in bare) / sum(b[0] for b in bare))
+    raw, truth, weight = [], [], []
+    for place, i in enumerate(model.index.order):
+        best = model.index.nearest(at[real[i]], weighed[real[i]], NEIGHBOURS, without=place)
         if best:
             raw.append(model.vote(best))
-            label.append(model.index.labels[i])
-            weight.append(stands[int(model.index.labels[i])])
+            truth.append(label[real[i]])
+            weight.append(stands[int(label[real[i]])])
     if raw:
-        model.steps = _calibrated(np.array(raw), np.array(label), np.array(weight))
+        model.steps = _calibrated(np.array(raw), np.array(truth), np.array(weight))
     return model
 
 
@@ -224,22 +272,24 @@ _RESULT = "score double, terms array<string>, neighbours array<string>"
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "toxicity") -> DataFrame:
-    """``docs`` with a struct: calibrated score, and as evidence the model's terms in the text and
-    the ids of the three nearest examples.
+    """``docs`` with a struct: calibrated score, and as evidence the heaviest of the text's terms that
+    examples have and the ids of the nearest examples.
 
-    Row by row, without a shuffle. Null and empty texts, and texts without any of the terms, get
-    the share of toxic texts among labelled ones without terms; equal texts get equal scores.
+    Row by row, without a shuffle. Null and empty texts, and texts without any term of the examples,
+    get the share of toxic texts among labelled ones without terms, or among all where there are no
+    such; equal texts get equal scores.
     """
-    names = list(model.vocabulary)
 
     @F.arrow_udf(_RESULT)
     def score(texts: pa.Array) -> pa.Array:
         rows = []
         for at, count in _vectors(texts, model.vocabulary):
-            best = model.index.nearest(at, model.weigh(at, count), NEIGHBOURS) if len(at) else []
+            weight = model.weigh(at, count) if len(at) else np.zeros(0)
+            best = model.index.nearest(at, weight, NEIGHBOURS) if len(at) else []
+            heavy = at[np.argsort(-weight, kind="stable")[:HEAVIEST]]
             rows.append({
-                "score": model.score(best), "terms": [names[i] for i in at],
-                "neighbours": [str(model.index.ids[i]) for _, i in best[:3]],
+                "score": model.score(best), "terms": model.vocabulary.take(pa.array(heavy)).to_pylist(),
+                "neighbours": [str(model.index.ids[i]) for _, i in best[:NEAREST]],
             })
         made = pa.array(rows, pa.struct([("score", pa.float64()), ("terms", pa.list_(pa.string())),
                                          ("neighbours", pa.list_(pa.string()))]))

@@ -332,16 +332,87 @@ def test_items_in_several_blocks(spark, monkeypatch):
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == sorted([(i, i) for i in range(20)] + [(3, 3)])
 
 
-def test_nearest_examples_are_exact():
-    draw = np.random.default_rng(5)
-    weights = draw.random((500, 12)) * (draw.random((500, 12)) < 0.3)
-    weights = (weights / np.maximum(1e-9, np.linalg.norm(weights, axis=1, keepdims=True))).astype(np.float32)
-    index = toxicity.Index(list(range(500)), np.zeros(500), weights)
-    for _ in range(100):
-        at = np.sort(draw.choice(12, 4, replace=False))
-        weight = draw.random(4).astype(np.float32)
-        true = sorted((index.weights[:, at] @ weight).tolist(), reverse=True)[:15]
-        assert [s for s, _ in index.nearest(at, weight, 15)] == pytest.approx([t for t in true if t > 0], abs=1e-5)
+@pytest.mark.parametrize("n", [0, 1, 15, 64, 700])
+def test_nearest_examples_are_exact(n):
+    draw = np.random.default_rng(n)
+    dense = draw.random((n, 40)) ** 4 * (draw.random((n, 40)) < 0.2)
+    dense = np.repeat(dense[: -(-n // 2)], 2, axis=0)[:n].astype(np.float32)  # every vector twice: ties
+    vectors = [(np.flatnonzero(v), v[v > 0]) for v in dense]
+    index = toxicity.Index(list(range(n)), np.zeros(n), vectors, 40)
+    assert sorted(index.ids) == list(range(n))
+    for without in [-1] * 40 + list(range(0, n, 50)):
+        at = np.sort(draw.choice(40, draw.integers(1, 12), replace=False))
+        weight = draw.random(len(at))
+        similar = dense[index.order][:, at].astype(float) @ weight
+        true = sorted((-round(s, 9), i) for i, s in enumerate(similar) if s > 0 and i != without)[:15]
+        found = index.nearest(at, weight, 15, without)
+        assert [i for _, i in found] == [i for _, i in true]
+        assert [s for s, _ in found] == pytest.approx([-s for s, _ in true], abs=1e-8)
+
+
+def test_blocks_that_cannot_be_nearer_are_passed_over(monkeypatch):
+    visited = []
+    spread = toxicity._spread
+    monkeypatch.setattr(toxicity, "_spread", lambda a, b: visited.append(int((b - a).sum())) or spread(a, b))
+    vectors = [(np.array([0, 1]), np.array([1.0, 0.01]))] * 64 + [(np.array([1, 2]), np.array([0.01, 1.0]))] * 6400
+    index = toxicity.Index(list(range(6464)), np.zeros(6464), vectors, 3)
+    assert len(index.nearest(np.array([0, 1]), np.array([0.9, 0.1]), 15)) == 15
+    assert sum(visited) < 700  # of 6,528 postings of the two terms
+
+
+def test_association_by_plain_chi_square():
+    a, b = np.array([30.0, 5, 0, 12, 40]), np.array([0.0, 5, 3, 20, 60])
+    ones, zeros = 40, 60
+    for x, y, got in zip(a, b, toxicity.association(a, b, ones, zeros)):
+        cells = [(x, ones * (x + y) / 100), (y, zeros * (x + y) / 100),
+                 (ones - x, ones * (100 - x - y) / 100), (zeros - y, zeros * (100 - x - y) / 100)]
+        chi = sum(max(0, abs(o - e) - 0.5) ** 2 / e for o, e in cells) if all(e for _, e in cells) else 0
+        assert got == pytest.approx((chi / 100) ** 0.5)
+
+
+def test_scores_against_brute_force(spark, monkeypatch):
+    """Weights, neighbours, calibration and scores by plain loops over whole vocabularies."""
+    monkeypatch.setattr(toxicity, "NEIGHBOURS", 3)
+    draw = random.Random(3)
+    mild, foul = [f"w{i}" for i in range(60)], ["vile", "scum", "rot"]
+    texts = {i: [draw.choice(mild) for _ in range(draw.randint(6, 30))] + draw.sample(foul, 2) * (i % 3 == 0)
+             for i in range(90)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    rows = {r["doc_id"]: r for r in toxicity.assess(docs, labels).collect()}
+
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    toxic = {i for i in learnt if i % 3 == 0}
+    words = {w for i in learnt for w in texts[i]}
+    clean = len(learnt) - len(toxic)
+    factor = {}
+    for w in words:
+        a = sum(w in texts[i] for i in toxic)
+        b = sum(w in texts[i] for i in learnt) - a
+        n, top = len(learnt), max(0, abs(a * clean - b * len(toxic)) - len(learnt) / 2)
+        below = len(toxic) * clean * (a + b) * (n - a - b)
+        phi = top / below**0.5 if below else 0
+        idf = np.log((1 + 90) / (1 + sum(w in t for t in texts.values()))) + 1
+        factor[w] = idf * (0.01 + 0.99 * phi)
+
+    def vector(i):
+        v = {w: (1 + np.log(c)) * factor[w] for w, c in Counter(texts[i]).items() if w in words}
+        size = sum(x * x for x in v.values()) ** 0.5
+        return {w: x / size for w, x in v.items()}
+
+    kept = {i: vector(i) for i in learnt}
+
+    def vote(v, without=None):
+        near = sorted(((sum(x * e.get(w, 0) for w, x in v.items()), i) for i, e in kept.items() if i != without),
+                      reverse=True)[:3]
+        return sum(s for s, i in near if i in toxic) / sum(s for s, _ in near), [str(i) for _, i in near]
+
+    steps = toxicity._calibrated(np.array([vote(kept[i], i)[0] for i in learnt]),
+                                 np.array([float(i in toxic) for i in learnt]), np.ones(len(learnt)))
+    for i in texts:
+        raw, near = vote(vector(i))
+        assert rows[i]["score"] == pytest.approx(float(np.interp(raw, *steps)), abs=1e-5)
+        assert rows[i]["neighbours"] == near
 
 
 def test_toxicity_of_held_out_documents(spark, sf_dir):
