@@ -25,7 +25,7 @@ EXAMPLES = 2000
 #: Weight of a term without any association with the label, against 1 for one that decides it.
 INDIFFERENT = 0.01
 NEIGHBOURS, BLOCK = 15, 64
-#: Blocks visited at first; each further visit takes twice as many.
+#: Blocks visited at first; all that can then still hold a nearer example come next, at one go.
 VISIT = 4
 #: Heaviest terms and nearest examples given as evidence.
 HEAVIEST, NEAREST = 5, 3
@@ -122,29 +122,28 @@ class Index:
         first, stop = self.of_term[at], self.of_term[at + 1]
         lists = _spread(first, stop)
         factor = np.repeat(weight.astype(np.float64), stop - first)
-        bound = np.bincount(self.block[lists], factor * self.largest[lists], self.blocks)
+        block = self.block[lists]
+        bound = np.bincount(block, factor * self.largest[lists], self.blocks)
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
         best, similar = np.zeros(0, np.int64), np.zeros(len(self.ids))
-        done, size = 0, VISIT
-        while done < len(order):
-            visit = order[done : done + size]
-            if len(best) == k:
-                visit = visit[bound[visit] >= similar[best[-1]] - 1e-6]
-                if not len(visit):
-                    break
+        for visit in (order[:VISIT], order[VISIT:]):
             chosen = np.zeros(self.blocks, bool)
             chosen[visit] = True
-            here = chosen[self.block[lists]]
+            if len(best) == k:
+                chosen &= bound >= similar[best[-1]] - 1e-6
+            here = np.flatnonzero(chosen[block])
+            if not len(here):
+                break
             a, b = self.start[lists[here]], self.start[lists[here] + 1]
             postings = _spread(a, b)
-            found = np.bincount(self.example[postings], np.repeat(factor[here], b - a) * self.weight[postings],
-                                len(self.ids))
-            similar += found  # blocks are visited once, so an example's sum is whole
-            found = np.flatnonzero(found)
-            best = np.concatenate([best, found[found != without]])
-            best = best[np.lexsort((best, -similar[best]))][:k]
-            done, size = done + size, size * 2
+            similar += np.bincount(self.example[postings], np.repeat(factor[here], b - a) * self.weight[postings],
+                                   len(self.ids))  # blocks are visited once, so an example's sum is whole
+            found = np.flatnonzero(similar)
+            if without >= 0:
+                found = found[found != without]
+            if len(found) > k:  # those as near as the k-th, ties among them
+                found = found[similar[found] >= np.partition(similar[found], -k)[-k]]
+            best = found[np.lexsort((found, -similar[found]))][:k]
         return [(float(similar[i]), int(i)) for i in best]
 
 
