@@ -2,7 +2,8 @@
 
 A text is the average of the embeddings of its byte trigrams, hashed into buckets; embeddings and
 softmax are trained together by stochastic gradient descent in numpy on a bounded sample of labelled
-texts. On labelled texts kept apart a temperature makes the probabilities honest, and a threshold
+texts, drawn for each language apart so that a rare one is learnt as well. On labelled texts kept apart,
+each counted for the rows it stands for, a temperature makes the probabilities honest, and a threshold
 for rejection is set so that what is accepted is right as often as wanted.
 """
 
@@ -12,13 +13,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perilframe.llm.common import fresh, text_bytes
 
-#: Labelled texts to learn from at most; hash buckets, embedding size, passes, texts a step, rate.
-EXAMPLES, BUCKETS, SIZE, PASSES, STEP, RATE = 4000, 2048, 16, 12, 32, 0.3
+#: Labelled texts to learn from, dealt evenly to the languages; texts of each language in any case, where
+#: it has so many; languages at most, the most common ones.
+EXAMPLES, LEAST, LANGUAGES = 4000, 50, 500
+#: Hash buckets, embedding size, passes, texts a step, rate.
+BUCKETS, SIZE, PASSES, STEP, RATE = 2048, 16, 12, 32, 0.3
 #: Wanted share of right answers among accepted ones; the share of examples kept for calibration.
 WANTED, APART = 0.98, 0.2
 UNKNOWN = "und"
@@ -57,8 +61,9 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(shares: np.ndarray, labels: np.ndarray, languages: list[str]) -> Model:
-    """Stochastic gradient descent with a falling rate; fixed seed, so the same model each time."""
+def train(shares: np.ndarray, labels: np.ndarray, languages: list[str], stands: np.ndarray) -> Model:
+    """Stochastic gradient descent with a falling rate; fixed seed, so the same model each time.
+    ``stands`` is how many rows an example of each language stands for."""
     draw = np.random.default_rng(7)
     embed = draw.normal(0, 0.1, (shares.shape[1], SIZE))
     out, bias = draw.normal(0, 0.1, (SIZE, len(languages))), np.zeros(len(languages))
@@ -82,22 +87,22 @@ def train(shares: np.ndarray, labels: np.ndarray, languages: list[str]) -> Model
                 embed - scaled[rows].T @ (error @ out.T), out - hidden.T @ error, bias - error.sum(axis=0))
     model = Model(languages, (np.sqrt(shares.shape[1]) * embed @ out).astype(np.float32), bias.astype(np.float32))
     if len(apart):
-        _calibrate(model, shares[apart], labels[apart])
+        _calibrate(model, shares[apart], labels[apart], stands[labels[apart]])
     return model
 
 
-def _calibrate(model: Model, shares: np.ndarray, labels: np.ndarray) -> None:
+def _calibrate(model: Model, shares: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> None:
     def loss(temperature: float) -> float:
         model.temperature = temperature
         right = model.probabilities(shares)[np.arange(len(labels)), labels]
-        return float(-np.log(np.maximum(right, 1e-9)).mean())
+        return float(-np.average(np.log(np.maximum(right, 1e-9)), weights=weight))
 
     model.temperature = min(np.geomspace(0.25, 8, 41), key=loss)
     found = model.probabilities(shares)
     best = found.max(axis=1)
     right = found.argmax(axis=1) == labels
-    order = np.argsort(-best)
-    share = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
+    order = np.argsort(-best, kind="stable")
+    share = np.cumsum((right * weight)[order]) / np.cumsum(weight[order])
     enough = np.flatnonzero(share >= WANTED)
     model.threshold = float(best[order][enough[-1]]) if len(enough) else 1.0
 
@@ -105,30 +110,53 @@ def _calibrate(model: Model, shares: np.ndarray, labels: np.ndarray) -> None:
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shares = [trigrams(t).astype(np.float16).tobytes() for t in text_bytes(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shares, pa.binary())], ["lang", "shares"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), pa.array(shares, pa.binary())], ["id", "lang", "shares"])
+
+
+def _drawn(known: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Ids and languages of the sample, and how many ids there are of each language, about."""
+    rows = (
+        known.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("id").alias("n"))
+        .orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect()
+    )
+    quota = max(LEAST, EXAMPLES // max(1, len(rows)))
+    spark = known.sparkSession
+    # Twice the quota by the id's hash, so that what is ranked below stays small whatever a language holds.
+    limits = spark.createDataFrame(
+        [(r["lang"], (2 * quota + 100) / max(1, r["n"])) for r in rows], "lang string, share double")
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40)
+    near = (
+        known.join(F.broadcast(limits), "lang").withColumn("place", place).where("place < share")
+        .select("id", "lang", "place").distinct()
+    )
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "id"))
+    chosen = near.withColumn("rank", rank).where(F.col("rank") <= quota).select("id", "lang")
+    return spark.createDataFrame(chosen.collect(), chosen.schema), {r["lang"]: r["n"] for r in rows}
 
 
 def fit(docs: DataFrame, learnable: Column, doc_id: str = "doc_id", text: str = "text",
         lang: str = "lang") -> Model:
-    """Learn from at most EXAMPLES documents that meet ``learnable`` and have id, text and language,
-    spread by hash. Without any, the model knows no language."""
-    known = docs.where(learnable & F.col(f"`{doc_id}`").isNotNull() & F.col(f"`{lang}`").isNotNull())
-    ids = known.select(F.col(f"`{doc_id}`").alias("id")).orderBy(F.xxhash64("id"), "id").limit(EXAMPLES)
-    ids = docs.sparkSession.createDataFrame(ids.collect(), ids.schema).distinct()
+    """Learn from documents that meet ``learnable`` and have id, text and language: of each language
+    EXAMPLES over the number of languages, LEAST at least, spread by hash. Of rows that share id and
+    language one is used. Without any, the model knows no language."""
+    known = docs.where(learnable).select(
+        F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"),
+        F.col(f"`{lang}`").cast("string").alias("lang"),
+    ).where("id is not null and text is not null and lang is not null")
+    ids, sizes = _drawn(known.select("id", "lang"))
     rows = (
-        known.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{lang}`").alias("lang"),
-                     F.col(f"`{text}`").alias("text"))
-        .join(F.broadcast(ids), "id")  # EXAMPLES ids at most
-        .where("text is not null").select("lang", "text")
-        .mapInArrow(_features, "lang string, shares binary")
-        .limit(EXAMPLES).collect()
+        known.join(F.broadcast(ids), ["id", "lang"]).select("id", "text", "lang")  # bounded by the parameters
+        .mapInArrow(_features, f"id {ids.schema['id'].dataType.simpleString()}, lang string, shares binary")
+        .groupBy("id", "lang").agg(F.min("shares").alias("shares")).orderBy("lang", "id").collect()
     )
-    rows.sort()
     languages = sorted({r["lang"] for r in rows})
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
     shares = np.stack([np.frombuffer(r["shares"], np.float16) for r in rows]).astype(np.float32)
-    return train(shares, np.array([languages.index(r["lang"]) for r in rows]), languages)
+    labels = np.array([languages.index(r["lang"]) for r in rows])
+    used = np.bincount(labels, minlength=len(languages))
+    return train(shares, labels, languages, np.array([sizes[x] for x in languages]) / used)
 
 
 def identified(docs: DataFrame, model: Model, text: str = "text", name: str = "language") -> DataFrame:

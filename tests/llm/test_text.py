@@ -156,6 +156,78 @@ def test_language_of_held_out_documents(spark, sf_dir, small_docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_rare_languages_are_learnt_and_rejection_holds(spark, monkeypatch):
+    monkeypatch.setattr(langid, "EXAMPLES", 240)
+    draw = random.Random(5)
+    sounds = {"aa": "abcdeab", "bb": "ghijkgh", "rare": "uvwxyzu"}
+
+    def text(lang):
+        mixed = sounds[lang] if draw.random() > 0.03 else "".join(sounds.values())
+        return " ".join("".join(draw.choice(mixed) for _ in range(5)) for _ in range(12))
+
+    langs = ["rare" if i % 60 == 0 else "aa" if i % 3 else "bb" for i in range(3000)]
+    docs = spark.createDataFrame([(i, text(x), x) for i, x in enumerate(langs)], "doc_id long, text string, lang string")
+    rows = [r for r in langid.assess(docs).collect() if r["held_out"]]
+    rare = [r for r in rows if langs[r["doc_id"]] == "rare"]
+    assert rare and sum(r["lang_pred"] == "rare" for r in rare) >= 0.9 * len(rare)
+    accepted = [r for r in rows if r["accepted"]]
+    assert len(accepted) >= 0.9 * len(rows)
+    assert sum(r["lang_pred"] == langs[r["doc_id"]] for r in accepted) >= 0.97 * len(accepted)
+    assert langid.assess(docs).collect() == langid.assess(docs.repartition(7)).orderBy("doc_id").collect()
+
+
+def test_descent_by_plain_loops(monkeypatch):
+    monkeypatch.setattr(langid, "PASSES", 2)
+    monkeypatch.setattr(langid, "APART", 0.0)
+    draw = np.random.default_rng(1)
+    shares, labels = draw.dirichlet(np.ones(6), 50), draw.integers(0, 3, 50)
+    model = langid.train(shares, labels, ["a", "b", "c"], np.ones(3))
+
+    seed = np.random.default_rng(7)
+    size = langid.SIZE
+    embed, out = seed.normal(0, 0.1, (6, size)).tolist(), seed.normal(0, 0.1, (size, 3)).tolist()
+    bias, order, step, steps = [0.0] * 3, seed.permutation(50), 0, 2 * -(-50 // langid.STEP)
+    for _ in range(2):
+        seed.shuffle(order)
+        for first in range(0, 50, langid.STEP):
+            batch = order[first : first + langid.STEP]
+            rate = langid.RATE * (1 - step / steps) / len(batch)
+            step += 1
+            new_embed, new_out, new_bias = [r[:] for r in embed], [r[:] for r in out], bias[:]
+            for i in batch:
+                x = [s * 6**0.5 for s in shares[i]]
+                hidden = [sum(x[b] * embed[b][h] for b in range(6)) for h in range(size)]
+                power = [np.exp(sum(hidden[h] * out[h][c] for h in range(size)) + bias[c]) for c in range(3)]
+                for c in range(3):
+                    error = power[c] / sum(power) - (labels[i] == c)
+                    new_bias[c] -= rate * error
+                    for h in range(size):
+                        new_out[h][c] -= rate * hidden[h] * error
+                        for b in range(6):
+                            new_embed[b][h] -= rate * x[b] * error * out[h][c]
+            embed, out, bias = new_embed, new_out, new_bias
+    assert model.weights == pytest.approx(6**0.5 * np.array(embed) @ np.array(out), abs=1e-5)
+    assert model.bias == pytest.approx(np.array(bias), abs=1e-6)
+
+
+def test_threshold_by_plain_loop():
+    draw = np.random.default_rng(2)
+    shares, labels, weight = draw.dirichlet(np.ones(4), 200), draw.integers(0, 2, 200), draw.integers(1, 9, 200) * 1.0
+    model = langid.Model(["a", "b"], draw.normal(0, 9, (4, 2)), np.zeros(2))
+    labels = np.where(draw.random(200) < 0.9, model.probabilities(shares).argmax(axis=1), labels)
+    langid._calibrate(model, shares, labels, weight)
+    found = model.probabilities(shares)
+    sure, right = found.max(axis=1), found.argmax(axis=1) == labels
+    good = [t for t in sure if (weight * right)[sure >= t].sum() >= langid.WANTED * weight[sure >= t].sum()]
+    assert model.threshold == pytest.approx(min(good, default=1.0))
+
+    def loss(t):
+        at = langid.Model(model.languages, model.weights / t, model.bias).probabilities(shares)
+        return -sum(w * np.log(max(p[y], 1e-9)) for p, y, w in zip(at, labels, weight))
+
+    assert loss(model.temperature) == pytest.approx(min(loss(t) for t in np.geomspace(0.25, 8, 41)))
+
+
 def test_language_of_odd_rows(odd_docs, no_docs):
     rows = {r["doc_id"]: r for r in langid.assess(odd_docs).collect()}
     assert all(rows[i]["lang_pred"] == "und" and rows[i]["score"] == 0 for i in (1, 2, 3))
