@@ -6,7 +6,7 @@ Every check aggregates each file by its key before anything is joined.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +38,22 @@ def trimmed_keys(file: DataFrame) -> DataFrame:
     )
 
 
+class Trimmed(Mapping[str, DataFrame]):
+    """Snapshots with trimmed keys; only those asked for are read."""
+
+    def __init__(self, snapshots: Snapshots):
+        self._snapshots = snapshots
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return trimmed_keys(self._snapshots[name])
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._snapshots)
+
+    def __len__(self) -> int:
+        return len(self._snapshots)
+
+
 def collated_keys(file: DataFrame) -> DataFrame:
     """Files whose keys compare without regard to case and trailing blanks: the keys become
     collated columns, so every join, group and comparison of the checks follows."""
