@@ -98,3 +98,11 @@ def test_lines_are_dealt_by_rows_before_they_are_grouped(spark, folder, written,
         plan = frame._jdf.queryExecution().executedPlan().toString()
         # No hashing of a whole split before the shuffle.
         assert plan.count("Exchange") == 1 and "HashAggregate" not in plan[plan.index("Exchange"):]
+
+
+@pytest.mark.parametrize("name", ["dq_initial_final", "dq_initial_final_policy"])
+def test_detail_and_file_are_not_joined_in_one_plan(spark, folder, written, name):
+    frame = QUERIES[name](spark, folder)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert {"initial_rows", "final_rows"} <= written()
+    assert "risk_property_structure_id" not in plan and "_ind" not in plan
