@@ -107,3 +107,18 @@ def test_detail_and_file_are_not_joined_in_one_plan(spark, folder, written, name
     assert {"initial_rows", "final_rows"} <= written()
     # Structures are read by detail and file alone.
     assert "rps_id" not in plan
+
+
+def test_groups_by_risk_lie_where_the_lines_lie(spark, folder, written):
+    mart = td.mart_of_testdata(spark, folder)
+    joined = mart["risk"].hint("merge").join(mart["covered_property_structure"], "risk_id")
+    joined = joined.join(td._run(spark, td._groups_of(spark, folder), td._RPP_LINES).hint("merge"), "risk_id")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert "lines" in written() and not written() & {"by_risk", "places", "flags"}
+
+
+def test_structures_lie_where_the_lines_lie_if_ids_tell_their_risk(spark, folder, written):
+    odd = td._groups_of(spark, folder)["lines"].filter("risk_id IS NULL OR l_linenumber IS NULL")
+    plan = td.mart_of_testdata(spark, folder)["risk_property_structure"]._jdf.queryExecution().executedPlan()
+    assert ("by_structure" in written()) == (not odd.isEmpty())
+    assert "Exchange" not in plan.toString()
