@@ -66,10 +66,15 @@ class Contract:
             return self.layers.select("policy_term_id").distinct()
         return self.folded.select("policy_term_id")
 
+    def _kept(self, frame: DataFrame, name: str) -> DataFrame:
+        """The frame, written where there is a stage. Sides that join by term would else run their
+        groupings and joins in one task, which holds the memory of all of them at once."""
+        return self.stage.keep(frame, f"{name}_{uuid4().hex}") if self.stage else frame
+
     @cached_property
     def premium(self) -> DataFrame:
         links = link_policy_id(self.mart, self.terms_in_force)
-        return policy_premium(self.mart, links, self.params)
+        return self._kept(policy_premium(self.mart, links, self.params), "premium")
 
     @cached_property
     def perils(self) -> DataFrame:
@@ -85,7 +90,8 @@ class Contract:
 
     @cached_property
     def groups(self) -> DataFrame:
-        return ded.blanket_groups(self.blankets, self.risks, self.perils)
+        blankets = self._kept(self.blankets, "blankets")
+        return self._kept(ded.blanket_groups(blankets, self.risks, self.perils), "groups")
 
     @cached_property
     def terms(self) -> DataFrame:
@@ -97,7 +103,8 @@ class Contract:
 
     @cached_property
     def deductible(self) -> DataFrame:
-        return ded.mark_all_peril(ded.policy_deductible(self.spread), self.perils)
+        marked = ded.mark_all_peril(ded.policy_deductible(self.spread), self.perils)
+        return self._kept(marked, "deductible")
 
     def file(self, predicate: Column | None = None) -> DataFrame:
         """The contract file, optionally restricted on its own columns."""
