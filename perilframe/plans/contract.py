@@ -68,8 +68,11 @@ class Contract:
 
     def _kept(self, frame: DataFrame, name: str) -> DataFrame:
         """The frame, written where there is a stage. Sides that join by term would else run their
-        groupings and joins in one task, which holds the memory of all of them at once."""
-        return self.stage.keep(frame, f"{name}_{uuid4().hex}") if self.stage else frame
+        groupings and joins in one task, which holds the memory of all of them at once. The
+        terms of a predicate (``view``) are few and stay one plan."""
+        if not self.stage or self.view is not None:
+            return frame
+        return self.stage.keep(frame, f"{name}_{uuid4().hex}")
 
     @cached_property
     def premium(self) -> DataFrame:

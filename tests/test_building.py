@@ -122,3 +122,8 @@ def test_structures_lie_where_the_lines_lie_if_ids_tell_their_risk(spark, folder
     plan = td.mart_of_testdata(spark, folder)["risk_property_structure"]._jdf.queryExecution().executedPlan()
     assert ("by_structure" in written()) == (not odd.isEmpty())
     assert "Exchange" not in plan.toString()
+
+
+def test_sides_of_the_contract_file_are_written_before_they_meet(spark, folder, written):
+    QUERIES["contract_file"](spark, folder)
+    assert {"premium", "deductible", "groups", "blankets"} <= {n.rsplit("_", 1)[0] for n in written()}
