@@ -117,6 +117,20 @@ def test_groups_by_risk_lie_where_the_lines_lie(spark, folder, written):
     assert "lines" in written() and not written() & {"by_risk", "places", "flags"}
 
 
+def test_orders_with_flags_are_shuffled_once(spark, folder, written, monkeypatch):
+    monkeypatch.setattr(td, "ROWS_PER_TASK", 2)
+    groups = td._groups_of(spark, folder)
+    groups["lines"]
+    monkeypatch.setattr(td.Stage, "keep_bucketed", lambda self, frame, *_: frame)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = groups["flagged_orders"]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One shuffle of the orders and one of the flags; neither the join nor the buckets ask for more.
+    assert plan.count("Exchange") == 2 and plan.count("REPARTITION_BY_NUM") == 2
+
+
 def test_structures_lie_where_the_lines_lie_if_ids_tell_their_risk(spark, folder, written):
     odd = td._groups_of(spark, folder)["lines"].filter("risk_id IS NULL OR l_linenumber IS NULL")
     plan = td.mart_of_testdata(spark, folder)["risk_property_structure"]._jdf.queryExecution().executedPlan()
