@@ -141,3 +141,11 @@ def test_structures_lie_where_the_lines_lie_if_ids_tell_their_risk(spark, folder
 def test_sides_of_the_contract_file_are_written_before_they_meet(spark, folder, written):
     QUERIES["contract_file"](spark, folder)
     assert {"premium", "deductible", "groups", "blankets"} <= {n.rsplit("_", 1)[0] for n in written()}
+
+
+def test_lines_hold_no_amount_twice_and_flags_are_shuffled_as_bits(spark, folder, written):
+    groups = td._groups_of(spark, folder)
+    lines = groups["lines"]
+    assert lines.filter("lesser_amt = amt").isEmpty()
+    assert lines.filter("lesser_amt = 90.25 AND amt = 100.5").count() == 1
+    assert td._run(spark, groups, td._RISK_FLAGS).columns == ["l_orderkey", "bits"]
