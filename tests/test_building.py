@@ -7,7 +7,8 @@ from datetime import datetime
 
 import pytest
 
-from perilframe.registry import QUERIES
+from perilframe.plans.location import location_file
+from perilframe.registry import PARAMS, QUERIES
 from perilframe.sources import testdata as td
 
 DAY = datetime(1998, 5, 1)
@@ -149,3 +150,13 @@ def test_lines_hold_no_amount_twice_and_flags_are_shuffled_as_bits(spark, folder
     assert lines.filter("lesser_amt = amt").isEmpty()
     assert lines.filter("lesser_amt = 90.25 AND amt = 100.5").count() == 1
     assert td._run(spark, groups, td._RISK_FLAGS).columns == ["l_orderkey", "bits"]
+
+
+def test_location_file_moves_the_risks_in_force_alone(spark, folder, written, tmp_path):
+    mart = td.mart_of_testdata(spark, folder)
+    staged = location_file(mart, PARAMS, stage=td.Stage(spark, str(tmp_path)))
+    assert [n for n in written() if n.startswith("risks_in_force_")]
+    plan = staged._jdf.queryExecution().optimizedPlan().toString()
+    # Every place that reads risks keeps those ids only.
+    assert plan.count("Join LeftSemi, (risk_id") >= 4
+    _same(staged, location_file(mart, PARAMS))
