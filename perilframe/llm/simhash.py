@@ -78,7 +78,8 @@ def near_links(prints: DataFrame, distance: int = 4, blocks: int = 7, cell: int
     ))
     keyed = prints.select("fp", F.inline(keys))
     shared = keyed.groupBy("part", "bits").agg(F.count("*").alias("n")).where("n > 1")
-    met = keyed.join(shared, ["part", "bits"]).select(
+    # Spark sizes ``keyed`` by its fingerprints, not by the keys made of each, and would broadcast it.
+    met = keyed.join(shared.hint("merge"), ["part", "bits"]).select(
         "part", "bits", "fp", F.ceil(F.col("n") / cell).cast("int").alias("slots")
     )
     slot: Column = F.pmod(F.xxhash64("fp"), F.col("slots")).cast("int")

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from perilframe.llm import repeats, simhash, spans
 from perilframe.llm.components import connected_components
@@ -63,6 +64,22 @@ def test_links_connect_dense_groups_in_cells(spark, cell):
     assert roots(found, signed) == roots(true, signed)
 
 
+@pytest.mark.parametrize("written", [True, False])
+def test_keys_of_fingerprints_are_not_broadcast(spark, tmp_path, written):
+    """Spark sizes them by the fingerprints, of which each makes 35: as the pipeline reads them and as
+    op1_simhash groups them."""
+    frame = spark.range(20_000).select(F.xxhash64("id").alias("fp"))
+    if written:
+        frame.write.parquet(str(tmp_path / "prints"))
+        frame = spark.read.parquet(str(tmp_path / "prints"))
+    else:
+        frame = frame.groupBy("fp").agg(F.count("*").alias("n")).select("fp")
+    found = simhash.near_links(frame)
+    plan = found._jdf.queryExecution().executedPlan()
+    found.collect()  # the plan is that which ran
+    assert "SortMergeJoin" in plan.toString() and "Broadcast" not in plan.toString()
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3)]
     found = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
