@@ -26,7 +26,7 @@ from perilframe.params import RunParams
 from perilframe.plans.predicate import asks_only_for
 from perilframe.schema import PERIL_FLAGS
 from perilframe.sources.mart import Mart
-from perilframe.sources.staging import Stage
+from perilframe.sources.staging import Stage, too_many_to_broadcast
 
 
 
@@ -59,11 +59,20 @@ class Contract:
         view = lay.policy_layers(self.mart, self.folded)
         return self.stage.keep(view, "policy_layers") if self.stage else view
 
+    @cached_property
+    def layers_by_term(self) -> DataFrame:
+        """The view, to be grouped by term and joined: Spark takes a few of its columns for few
+        bytes, whatever the number of rows."""
+        if not self.stage or self.view is not None:
+            return self.layers
+        many = too_many_to_broadcast(self.layers.select("policy_term_id"))
+        return self.layers.hint("merge") if many else self.layers
+
     @cached_property
     def terms_in_force(self) -> DataFrame:
         """One row per policy term in force."""
         if self.stage or self.view is not None:
-            return self.layers.select("policy_term_id").distinct()
+            return self._kept(self.layers.select("policy_term_id").distinct(), "terms")
         return self.folded.select("policy_term_id")
 
     def _kept(self, frame: DataFrame, name: str) -> DataFrame:
@@ -72,7 +81,7 @@ class Contract:
         terms of a predicate (``view``) are few and stay one plan."""
         if not self.stage or self.view is not None:
             return frame
-        return self.stage.keep(frame, f"{name}_{uuid4().hex}")
+        return self.stage.keep_side(frame, f"{name}_{uuid4().hex}")
 
     @cached_property
     def premium(self) -> DataFrame:
@@ -81,15 +90,15 @@ class Contract:
 
     @cached_property
     def perils(self) -> DataFrame:
-        return lay.peril_count(self.layers)
+        return lay.peril_count(self.layers_by_term)
 
     @cached_property
     def risks(self) -> DataFrame:
-        return lay.risk_count(self.mart, self.layers)
+        return lay.risk_count(self.mart, self.layers_by_term)
 
     @cached_property
     def blankets(self) -> DataFrame:
-        return ded.blanket_by_peril(self.mart, self.terms_in_force, self.layers, self.params)
+        return ded.blanket_by_peril(self.mart, self.terms_in_force, self.layers_by_term, self.params)
 
     @cached_property
     def groups(self) -> DataFrame:

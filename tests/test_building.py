@@ -7,6 +7,7 @@ from datetime import datetime
 
 import pytest
 
+from perilframe.plans.contract import Contract
 from perilframe.plans.location import location_file
 from perilframe.registry import PARAMS, QUERIES
 from perilframe.sources import testdata as td
@@ -160,3 +161,33 @@ def test_location_file_moves_the_risks_in_force_alone(spark, folder, written, tm
     # Every place that reads risks keeps those ids only.
     assert plan.count("Join LeftSemi, (risk_id") >= 4
     _same(staged, location_file(mart, PARAMS))
+
+
+@pytest.mark.parametrize("most, broadcast", [("48k", False), ("10MB", True)])
+def test_packed_sides_of_the_contract_file_are_sized_by_their_rows(spark, tmp_path, monkeypatch, most, broadcast):
+    """4,000 terms take 64 KB unpacked, their files and the shares of single columns far less."""
+    orders = spark.range(1, 4001).selectExpr(
+        "id AS o_orderkey", "id % 3 + 1 AS o_custkey", "'O' AS o_orderstatus",
+        "TIMESTAMP_NTZ '1998-05-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    lines = orders.selectExpr(
+        "o_orderkey AS l_orderkey", "5L AS l_partkey", "1L AS l_suppkey", "1 AS l_linenumber", "10.0D AS l_quantity",
+        "100.5D AS l_extendedprice", "'N' AS l_returnflag", "'O' AS l_linestatus", "o_orderdate AS l_shipdate")
+    for table, ddl in td.BASE_SCHEMAS.items():
+        rows = {"orders": orders, "lineitem": lines}.get(table)
+        (rows or spark.createDataFrame(SMALL[table], ddl)).write.parquet(f"{tmp_path}/{table}.parquet")
+    mart, plans, keep = td.mart_of_testdata(spark, str(tmp_path)), {}, td.Stage.keep
+
+    def seen(self, frame, name):
+        plans[name.rsplit("_", 1)[0]] = frame._jdf.queryExecution().executedPlan().toString()
+        return keep(self, frame, name)
+
+    monkeypatch.setattr(td.Stage, "keep", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    try:
+        file = Contract(mart, PARAMS, td.Stage(spark, str(tmp_path))).file()
+        plans["file"] = file._jdf.queryExecution().executedPlan().toString()
+        assert file.count() > 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sides = {n for n in ("premium", "blankets", "groups", "deductible", "file") if "BroadcastHashJoin [policy_term_id" in plans[n]}
+    assert bool(sides) == broadcast, sides
